@@ -72,7 +72,7 @@ def cells(docs: DataFrame, n_cells: int, id_col: str = "doc_id", text_col: str =
 def shared_keys(sent: DataFrame) -> DataFrame:
     """From ``(cell, bucket, keys)`` to ``(cell, keys)``: keys that several cells sent."""
 
-    def answer(table: pa.Table) -> pa.Table:
+    def answer(table):
         owners = table.column("cell").to_pylist()
         lists = [unpack(b) for b in table.column("keys").to_pylist()]
         everything = np.concatenate(lists) if lists else np.empty(0, U64)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import substring_dedup
+from . import substring_dedup, suffix_dedup
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +16,15 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(C.read(spark, sf_dir, "documents"), window=35).drop("kept_text")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left after removing 100-byte strings with an earlier occurrence, for every document."""
+    return suffix_dedup.remove_earlier(C.read(spark, sf_dir, "documents"), length=100).drop("kept_text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op9_substring_dedup": op9_substring_dedup,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 

@@ -21,6 +21,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common as C
 
@@ -120,9 +121,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, base: int = 18, id_col: st
         tags = back.column("level").to_numpy(zero_copy_only=False) if back.num_rows else np.empty(0, np.int32)
         return [C.received(back.filter(pa.array(tags == k))) if back.num_rows else np.empty(0, C.U64) for k in range(levels)]
 
-    def finish(key, table: pa.Table, back: pa.Table) -> pa.Table:
+    def finish(key, table, back):
         survivors = survive(table, _by_level(back, len(lengths)))
-        ids = table.column("doc_id").to_numpy()
         out: dict[str, list] = {n: [] for n in _ARROW.names}
         for i, j, b, starts, ends, first, h in _words(table):
             at = _candidates(h, first, lengths, survivors[:-1], window)
@@ -134,15 +134,13 @@ def remove_repeats(docs: DataFrame, window: int = 35, base: int = 18, id_col: st
                 lo, hi = first[d], first[d + 1]
                 keep = np.flatnonzero(~gone[lo:hi]) + lo
                 text = b" ".join([raw[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist())])
-                out["doc_id"].append(ids[i + d])
                 out["n_words"].append(int(hi - lo))
                 out["n_removed"].append(int(hi - lo - len(keep)))
                 out["kept_sha256"].append(hashlib.sha256(text).hexdigest())
                 out["kept_text"].append(text.decode("utf-8", "replace"))
+        out["doc_id"] = table.column("doc_id")
         return pa.table(out, schema=_ARROW)
 
-    from pyspark.sql import functions as F
-
     answers = None
     for level in range(len(lengths)):
         if answers is None:
@@ -158,7 +156,7 @@ def _guard(f, schema: pa.Schema | None = None):
     """A cell without documents cannot answer; it yields no rows."""
     empty = (schema or pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])).empty_table()
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key, left, right):
         return f(key, left, right) if left.num_rows else empty
 
     return run
