@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import substring_dedup, suffix_dedup
+from . import jaccard_join, substring_dedup, suffix_dedup
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: five-word shingles, Jaccard 0.8 or more."""
+    return jaccard_join.near_duplicates(C.read(spark, sf_dir, "documents"), threshold=80, shingle=5)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
