@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import jaccard_join, substring_dedup, suffix_dedup
+from . import jaccard_join, substring_dedup, suffix_dedup, toxicity
+
+
+def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from labelled rows that are not held out."""
+    return toxicity.toxicity(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_toxicity_ftrl": op4_toxicity_ftrl,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
