@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import jaccard_join, substring_dedup, suffix_dedup, toxicity
+from . import jaccard_join, packing, substring_dedup, suffix_dedup, toxicity
+
+
+def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens, a row per piece."""
+    return packing.pack_documents(C.read(spark, sf_dir, "documents"), window=2048)
 
 
 def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +38,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_hierarchical_packing": op2_hierarchical_packing,
         "op4_toxicity_ftrl": op4_toxicity_ftrl,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op9_substring_dedup": op9_substring_dedup,
