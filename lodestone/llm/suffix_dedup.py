@@ -34,7 +34,10 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 _KEYS = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
 _SPANS = pa.schema([("cell", pa.int32()), ("spans", pa.binary())])
 #: Windows of one batch of the index; a level of class k holds about 2^k batches.
-BATCH_WINDOWS = 1 << 17
+BATCH_WINDOWS = 1 << 16
+#: Text bytes of a cell, and of the corpus for each bucket; a bucket's keys take 100 bytes a window.
+CELL_BYTES = 4 << 20
+BUCKET_BYTES = 3 << 19
 
 
 # ---------------------------------------------------------------- the index
@@ -191,7 +194,7 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
     columns are ignored.  An empty table gives an empty result.
     """
     total = C.column_bytes(docs, text_col)
-    n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES // 4)
+    n_cells, n_buckets = C.parts(total, CELL_BYTES), C.parts(total, BUCKET_BYTES)
     dealt = C.cells(docs, n_cells, id_col, text_col)
 
     def ask(key, table):
