@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import jaccard_join, packing, substring_dedup, suffix_dedup, toxicity
+from . import jaccard_join, media, packing, substring_dedup, suffix_dedup, toxicity
 
 
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(C.read(spark, sf_dir, "documents"), threshold=80, shingle=5)
 
 
+def op8_media_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as chunked, deduplicated media, read back, verified and measured."""
+    return media.media_columns(C.read(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing repeated 35-word windows, for every document."""
     return substring_dedup.remove_repeats(C.read(spark, sf_dir, "documents"), window=35).drop("kept_text")
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hierarchical_packing": op2_hierarchical_packing,
         "op4_toxicity_ftrl": op4_toxicity_ftrl,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+        "op8_media_chunking": op8_media_chunking,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
