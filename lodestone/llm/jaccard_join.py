@@ -8,11 +8,12 @@ R-tree walks before any pair of sets is compared.
 
 Getting there without comparing everything with everything:
 
-1. Frequent shingles are found by counting in each partition (any order of shingles is
-   exact; putting frequent ones last only keeps blocks small).
-2. Linked sets share a shingle among the first ``floor(0.2 n) + 1`` of each in that
-   order.  These prefix shingles are the blocking keys; keys that only one document has
-   fall away (cells and buckets of ``common``), and with them most documents.
+1. The shingles with the smallest hashes, ``SAMPLED`` of all, are looked up across the
+   corpus (cells and buckets of ``common``): which of them does only one set have?
+2. Shingles are ordered: looked-up and unique, looked-up and repeated, the rest; by hash
+   within each.  Linked sets share a shingle among the first ``floor(0.2 n) + 1`` of each
+   in any common order.  In this one most documents begin with unique shingles only and
+   can link with nothing; the others' repeated prefix shingles are the blocking keys.
 3. Equal sets collapse to their smallest document id.
 4. Sets sharing a min-hash are compared with that group's smallest member only; what
    passes is linked.  This joins large groups of near copies with one pair a member.
@@ -32,12 +33,12 @@ from . import common as C
 from .components import connected_components
 
 GROUPS = 64
-#: Frequent shingles that are put last in the order, at most (8 bytes each at the driver).
-MAX_FREQUENT = 1 << 16
-#: A shingle counts as frequent from so many documents in one partition.
-FREQUENT_IN_PARTITION = 4
+#: Share of shingles (by hash) that are looked up across the corpus.
+SAMPLED = 0.4
+_LIMIT = C.U64(int(SAMPLED * (1 << 64)))
 SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
 LEAF = 32
+_SENT = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
 
 _SETS = "doc_id long, n_shingles long, d1 long, d2 long, m1 long, m2 long, points array<int>, shingles array<long>, keys array<long>"
 _SETS_ARROW = pa.schema(
@@ -75,13 +76,17 @@ def shingle_sets(table: pa.Table, shingle: int = 5):
         yield i, keys, np.searchsorted(owner, np.arange(j - i + 1))
 
 
-def prefix_order(keys: np.ndarray, offs: np.ndarray, frequent: np.ndarray, threshold: int = 80) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``floor((1 - t) n) + 1`` shingles of each set, frequent ones last, and their owners."""
+def prefix_order(keys: np.ndarray, offs: np.ndarray, repeated: np.ndarray, threshold: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of each set's prefix that are not known to be unique, and their owners.
+
+    The prefix is the first ``floor((1 - t) n) + 1`` shingles in the common order.
+    """
     n = np.diff(offs)
     owner = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((keys, C.member(keys, frequent), owner))
+    rank_class = np.where(keys >= _LIMIT, 2, C.member(keys, repeated).astype(np.int8))
+    order = np.lexsort((keys, rank_class, owner))
     rank = np.arange(len(keys)) - np.repeat(offs[:-1], n)
-    take = rank < np.repeat((100 - threshold) * n // 100 + 1, n)
+    take = (rank < np.repeat((100 - threshold) * n // 100 + 1, n)) & (rank_class[order] > 0)
     return keys[order][take], owner[take]
 
 
@@ -189,22 +194,6 @@ def _block_pairs(table: pa.Table, threshold: int) -> pa.Table:
 # ---------------------------------------------------------------- the join
 
 
-def _frequent(docs: DataFrame, shingle: int, threshold: int, text_col: str) -> np.ndarray:
-    """The most frequent prefix shingles, at most MAX_FREQUENT of them, sorted."""
-
-    def count(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            got = [prefix_order(k, o, np.empty(0, np.uint64), threshold)[0] for _, k, o in shingle_sets(table, shingle)]
-            keys, times = np.unique(np.concatenate(got) if got else np.empty(0, np.uint64), return_counts=True)
-            often = times >= FREQUENT_IN_PARTITION
-            yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(times[often])], names=["key", "times"])
-
-    local = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(count, "key long, times long")
-    top = local.groupBy("key").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "key").limit(MAX_FREQUENT)
-    return np.sort(np.array([r["key"] for r in top.select("key").collect()], np.int64).view(np.uint64))
-
-
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Pairs whose sets link, by exact intersection."""
     side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("shingles").alias(f"s_{n}"))
@@ -224,53 +213,65 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     """
     total = C.column_bytes(docs, text_col)
     n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES)
-    frequent = _frequent(docs, shingle, threshold, text_col)
     dealt = C.cells(docs, n_cells, id_col, text_col)
 
-    def ask(key, table):
-        """Prefix keys of the distinct sets of a cell."""
-        got, seen = [], set()
-        for _, keys, offs in shingle_sets(table, shingle):
-            p, owner = prefix_order(keys, offs, frequent, threshold)
-            fresh = _first_of_equal(keys, offs, seen)
-            got.append(p[fresh[owner]])
-        keys, _ = C.distinct_and_repeated(np.concatenate(got) if got else np.empty(0, np.uint64))
+    def distinct_sets(table):
+        """Batches of a cell's shingle sets with a mask of those not met before in it."""
+        seen: set = set()
+        for i, keys, offs in shingle_sets(table, shingle):
+            yield i, keys, offs, _first_of_equal(keys, offs, seen)
+
+    def sampled(table):
+        out = [keys[(keys < _LIMIT) & np.repeat(fresh, np.diff(offs))] for _, keys, offs, fresh in distinct_sets(table)]
+        return C.distinct_and_repeated(np.concatenate(out) if out else np.empty(0, np.uint64))
+
+    def prefixes(table, back):
+        repeated = np.union1d(sampled(table)[1], C.received(_level(back, 0)))
+        out = []
+        for i, keys, offs, fresh in distinct_sets(table):
+            p, owner = prefix_order(keys, offs, repeated, threshold)
+            mine = fresh[owner]
+            out.append((i, keys, offs, p[mine], owner[mine]))
+        return out
+
+    def look_up(key, table):
+        return C.send(key[0].as_py(), sampled(table)[0], n_buckets)
+
+    def ask(key, table, back):
+        if not table.num_rows:
+            return _SENT.empty_table()
+        keys, _ = C.distinct_and_repeated(np.concatenate([p for *_, p, _ in prefixes(table, back)]))
         return C.send(key[0].as_py(), keys, n_buckets)
 
     def answer(key, table, back):
         """All documents; those with a shared prefix key also bring their set, point and keys."""
         if not table.num_rows:
             return _SETS_ARROW.empty_table()
-        batches, own, seen = [], [], set()
-        for i, keys, offs in shingle_sets(table, shingle):
-            p, owner = prefix_order(keys, offs, frequent, threshold)
-            fresh = _first_of_equal(keys, offs, seen)
-            own.append(p[fresh[owner]])
-            batches.append((i, keys, offs, p, owner, fresh))
-        _, local = C.distinct_and_repeated(np.concatenate(own))
-        wanted = np.union1d(local, C.received(back))
+        batches = prefixes(table, back)
+        _, local = C.distinct_and_repeated(np.concatenate([p for *_, p, _ in batches]))
+        wanted = np.union1d(local, C.received(_level(back, 1)))
         ids = table.column("doc_id").to_numpy()
         out: dict[str, list] = {n: [] for n in _SETS_ARROW.names}
-        for i, keys, offs, p, owner, fresh in batches:
+        for i, keys, offs, p, owner in batches:
             d1, d2 = digests(keys, offs)
             m = [min_hashes(keys, offs, s) for s in SEEDS]
             hit = C.member(p, wanted)
-            lead = fresh & (np.bincount(owner, weights=hit, minlength=len(offs) - 1) > 0)
-            points = count_points(keys, offs)
+            p, owner = p[hit], owner[hit]
             at = np.searchsorted(owner, np.arange(len(offs)))
+            points = count_points(keys, offs)
             for d in range(len(offs) - 1):
-                full = bool(lead[d])
-                s = slice(offs[d], offs[d + 1])
-                k = slice(at[d], at[d + 1])
                 row = (ids[i + d], offs[d + 1] - offs[d], d1.view(np.int64)[d], d2.view(np.int64)[d], m[0].view(np.int64)[d], m[1].view(np.int64)[d])
-                row += (points[d], keys[s].view(np.int64), p[k][hit[k]].view(np.int64)) if full else (None, None, None)
+                mine = p[at[d] : at[d + 1]]
+                row += (points[d], keys[offs[d] : offs[d + 1]].view(np.int64), mine.view(np.int64)) if len(mine) else (None, None, None)
                 for name, value in zip(_SETS_ARROW.names, row):
                     out[name].append(value)
         return pa.table(out, schema=_SETS_ARROW)
 
-    sent = dealt.groupBy("cell").applyInArrow(ask, "cell int, bucket int, keys binary")
-    back = C.shared_keys(sent)
-    every = C.cut(dealt.groupBy("cell").cogroup(back.groupBy("cell")).applyInArrow(answer, _SETS))
+    sent = "cell int, bucket int, keys binary"
+    back = C.shared_keys(dealt.groupBy("cell").applyInArrow(look_up, sent)).withColumn("level", F.lit(0))
+    more = C.shared_keys(dealt.groupBy("cell").cogroup(back.groupBy("cell")).applyInArrow(ask, sent)).withColumn("level", F.lit(1))
+    answers = back.unionByName(more)
+    every = C.cut(dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(answer, _SETS))
 
     nodes = every.select("doc_id", "n_shingles", "d1", "d2").distinct()
     filled = nodes.where("n_shingles > 0")
@@ -302,6 +303,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     )
 
 
+def _level(back: pa.Table, level: int) -> pa.Table:
+    return back.filter(pa.array(back.column("level").to_numpy(zero_copy_only=False) == level)) if back.num_rows else back
+
+
 def _first_of_equal(keys: np.ndarray, offs: np.ndarray, seen: set) -> np.ndarray:
     """Mask of sets not met before in this cell; ``seen`` holds their digests."""
     d1, d2 = digests(keys, offs)
