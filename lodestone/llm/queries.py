@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import jaccard_join, media, packing, piece_codec, substring_dedup, suffix_dedup, toxicity
+from . import attention_lm, jaccard_join, media, packing, piece_codec, substring_dedup, suffix_dedup, toxicity
 
 
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(C.read(spark, sf_dir, "documents"), threshold=80, shingle=5)
 
 
+def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attention-model and unigram scores of every whole text."""
+    return attention_lm.score_documents(C.read(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text by suffix-array matching: counts, digest and round trip."""
     return piece_codec.encode_documents(C.read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
@@ -51,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hierarchical_packing": op2_hierarchical_packing,
         "op4_toxicity_ftrl": op4_toxicity_ftrl,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+        "op6_attention_lm": op6_attention_lm,
         "op7_sentencepiece_suffix_array": op7_sentencepiece_suffix_array,
         "op8_media_chunking": op8_media_chunking,
         "op9_substring_dedup": op9_substring_dedup,
