@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import attention_lm, jaccard_join, media, packing, piece_codec, substring_dedup, suffix_dedup, toxicity
+from . import attention_lm, jaccard_join, media, packing, piece_codec, quality, substring_dedup, suffix_dedup, toxicity
 
 
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(C.read(spark, sf_dir, "documents"), window=2048)
 
 
+def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document: base counts and divergence from language references."""
+    return quality.judge(C.read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learned from labelled rows that are not held out."""
     return toxicity.toxicity(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
@@ -54,6 +59,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_hierarchical_packing": op2_hierarchical_packing,
+        "op3_distribution_divergence": op3_distribution_divergence,
         "op4_toxicity_ftrl": op4_toxicity_ftrl,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op6_attention_lm": op6_attention_lm,
