@@ -144,7 +144,8 @@ def extents(buf: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[
     stop = np.ones(len(pick), bool)
     stop[:-1] = new[1:] | ~ok[1:]
     last = np.flatnonzero(stop & ok)
-    return h[pick[first]], first, last
+    # smallest hashes are small numbers: mix again, as keys are dealt to buckets by size
+    return C.mix(h[pick[first]] ^ C._STEP[0]), first, last
 
 
 def _sorted_cell(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
