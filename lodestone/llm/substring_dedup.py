@@ -51,7 +51,12 @@ def _anchors(h: np.ndarray, first: np.ndarray, window: int, base: int):
         return np.empty(0, C.U64), ok
     short = C.window_hashes(h, base)
     at = C.sliding_argmin(short, window - base + 1)
-    return short[at[ok]], ok
+    return _anchor_keys(short[at[ok]]), ok
+
+
+def _anchor_keys(h: np.ndarray) -> np.ndarray:
+    """Smallest hashes are small numbers: mix again, as keys are dealt to buckets by size."""
+    return C.mix(h ^ C._STEP[0])
 
 
 def _candidates(h, first, lengths, survivors, window):
@@ -90,7 +95,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, base: int = 18, id_col: st
                 if len(at):
                     short = C.window_hashes(h, lengths[0])
                     pick = np.unique(C.sliding_argmin(short, window - lengths[0] + 1)[at])
-                    out.append(short[pick])
+                    out.append(_anchor_keys(short[pick]))
                 continue
             at = _candidates(h, first, lengths, survivors, window)
             if len(at):
