@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
 from . import common as C
-from . import attention_lm, jaccard_join, media, packing, piece_codec, quality, substring_dedup, suffix_dedup, toxicity
+from . import attention_lm, jaccard_join, media, packing, piece_codec, quality, site_templates, substring_dedup, suffix_dedup, toxicity
+
+
+def op1_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return site_templates.main_texts(C.read(spark, sf_dir, "pages"))
 
 
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +63,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_site_template_removal": op1_site_template_removal,
         "op2_hierarchical_packing": op2_hierarchical_packing,
         "op3_distribution_divergence": op3_distribution_divergence,
         "op4_toxicity_ftrl": op4_toxicity_ftrl,
