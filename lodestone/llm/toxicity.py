@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -24,7 +25,6 @@ BITS = 20
 TRAIN_ROWS = 6_000
 #: Word beginnings, in bytes, that stand for a word's inflected forms.
 STEMS = (4, 5)
-SCHEMA = "doc_id long, score double"
 
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[ord(c) for c in ".,;:!?\"'()[]{}"]] = True
@@ -79,8 +79,8 @@ def feature_pairs(buf: np.ndarray, offs: np.ndarray, keep: np.ndarray | None = N
 class FTRL:
     """FTRL-proximal for logistic loss with binary features."""
 
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 6.0, l2: float = 1.0):
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, bias_alpha: float = 0.5):
+        self.alpha, self.beta, self.l1, self.l2, self.bias_alpha = alpha, beta, l1, l2, bias_alpha
         self.z, self.n = np.zeros(1 << BITS), np.zeros(1 << BITS)
         self.bias_z = self.bias_n = 0.0
 
@@ -90,7 +90,7 @@ class FTRL:
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def bias(self) -> float:
-        return -self.bias_z / ((self.beta + self.bias_n**0.5) / self.alpha)
+        return -self.bias_z / ((self.beta + self.bias_n**0.5) / self.bias_alpha)
 
     def learn(self, x: np.ndarray, y: int) -> None:
         w = self.weights(x)
@@ -99,7 +99,7 @@ class FTRL:
         g = p - y
         self.z[x] += g - (np.sqrt(self.n[x] + g * g) - np.sqrt(self.n[x])) / self.alpha * w
         self.n[x] += g * g
-        self.bias_z += g - ((self.bias_n + g * g) ** 0.5 - self.bias_n**0.5) / self.alpha * b
+        self.bias_z += g - ((self.bias_n + g * g) ** 0.5 - self.bias_n**0.5) / self.bias_alpha * b
         self.bias_n += g * g
 
     def model(self) -> Model:
@@ -145,14 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, passes: int = 3, rows: int = TRAIN
     return learner.model()
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` for every row: the probability that the text is toxic.
+def score_rows(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the score as ``name``.
 
-    Null and empty texts get the bias alone.  Repeated rows get equal scores.  Only the
-    id and the text are read.  The work is a map: nothing is shuffled.
+    Null and empty texts get the bias alone.  Repeated rows get equal scores.  The work
+    is a map: nothing is shuffled.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.bias, model.index, model.weight))
+    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.index, model.weight))
 
     def run(batches):
         bias, index, weight = shared.value
@@ -161,14 +160,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         keep = dense != 0
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            buf, offs = C.text_buffer(table.column("text"))
+            buf, offs = C.text_buffer(table.column(text_col))
             total = np.full(table.num_rows, bias)
             for i, j, b, o in C.batches(buf, offs):
                 doc, slot = feature_pairs(b, o, keep)
                 total[i:j] += np.bincount(doc, weights=dense[slot], minlength=j - i)
-            yield pa.RecordBatch.from_arrays([table.column("doc_id").combine_chunks(), pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=["doc_id", "score"])
+            out = pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score`` for every row: the probability that the text is toxic."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return score_rows(picked, model, "score").drop("text")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is under the threshold."""
+    mark = "__toxicity"
+    return score_rows(docs, fit(docs, labels), mark).where(F.col(mark) < threshold).drop(mark)
 
 
 def held_out(id_col: str = "doc_id"):
