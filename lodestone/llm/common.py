@@ -60,12 +60,13 @@ def parts(total_bytes: int, each: int) -> int:
     return max(MIN_PARTS, -(-total_bytes // each))
 
 
-def cells(docs: DataFrame, n_cells: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(cell, doc_id, text)`` with null text as empty; other columns are left out."""
+def cells(docs: DataFrame, n_cells: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(cell, doc_id, text)`` and ``carry``, null text as empty; other columns are left out."""
     return docs.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_cells)).cast("int").alias("cell"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *carry,
     )
 
 

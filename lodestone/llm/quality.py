@@ -79,13 +79,14 @@ def with_histograms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = word_list()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    first = docs.select(F.col(id_col).alias("doc_id"), lang.alias("lang"), text.alias("text"))
+    first = docs.select(F.col(id_col).alias("doc_id"), lang.alias("lang"), text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     left, counts = first.withColumn("left", F.col("text")), []
     for name, pattern in CHAR_CLASSES:
         left = left.withColumn(f"n_{name}", F.length("left")).withColumn("left", F.regexp_replace("left", pattern, ""))
         left = left.withColumn(f"n_{name}", (F.col(f"n_{name}") - F.length("left")).cast("double"))
         counts.append(f"n_{name}")
     counted = left.select(
+        "row",
         "doc_id",
         "lang",
         words_of(F.col("text")).alias("words"),
@@ -97,6 +98,7 @@ def with_histograms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     found = F.filter("words", lambda w: w.isin(listed))
     counted = counted.select(
+        "row",
         "doc_id",
         "lang",
         F.size("words").cast("long").alias("n_words"),
@@ -141,7 +143,7 @@ def divergence(hist: Column, total: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), terms / 2))).otherwise(0.0)
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, ``base_failed``, both distances, and ``kept``.
 
     Null and empty texts have no words and fail the base rules.  Without a reference (no
@@ -162,5 +164,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         .withColumn("word_distance", F.round(nearest("common", total), 6))
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~(F.col("base_failed") | (guard & far)))
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
     )
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Counts, distances and the verdict of every row."""
+    return judged(docs, id_col, text_col).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept."""
+    return judged(docs, id_col, text_col).where("kept").select("row.*")

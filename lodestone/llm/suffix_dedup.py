@@ -25,6 +25,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -185,18 +187,21 @@ def _spans_blob(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return np.stack((ids, starts, ends)).astype("<i8").tobytes() if len(ids) else b""
 
 
-def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte that a ``length``-byte string with an earlier occurrence covers.
 
     One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and
     ``kept_text`` (binary, as a cut may fall inside a character).  Null and empty texts
     have no bytes; texts shorter than ``length`` are kept whole; of repeated rows the
-    first is kept (rows with one id keep the order in which they are read).  Other
-    columns are ignored.  An empty table gives an empty result.
+    first is kept (rows of one id in order of text).  Columns named in ``carry`` pass
+    through; other columns are ignored.  An empty table gives an empty result.
     """
     total = C.column_bytes(docs, text_col)
     n_cells, n_buckets = C.parts(total, CELL_BYTES), C.parts(total, BUCKET_BYTES)
     dealt = C.cells(docs, n_cells, id_col, text_col)
+    full = C.cells(docs, n_cells, id_col, text_col, carry) if carry else dealt
+    kinds = T._parse_datatype_string(SCHEMA)
+    kinds = T.StructType([*kinds.fields, *[docs.schema[c] for c in carry]])
 
     def ask(key, table):
         got = [anchor for _, _, _, anchor, *_ in _cell_extents(table, length, gram)]
@@ -260,7 +265,7 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
 
     def finish(key, table, back):
         if not table.num_rows:
-            return _ARROW.empty_table()
+            return pa.schema([*_ARROW, *[table.schema.field(c) for c in carry]]).empty_table()
         table, ids = _sorted_cell(table)
         blobs = [np.frombuffer(x, "<i8").reshape(3, -1) for x in back.column("spans").to_pylist()]
         spans = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), np.int64)
@@ -277,13 +282,28 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             out["kept_text"].append(kept)
         out["doc_id"] = table.column("doc_id")
-        return pa.table(out, schema=_ARROW)
+        done = pa.table(out, schema=_ARROW)
+        for c in carry:
+            done = done.append_column(c, table.column(c))
+        return done
 
     sent = dealt.groupBy("cell").applyInArrow(ask, "cell int, bucket int, keys binary")
     answers = C.shared_keys(sent)
     shipped = dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(ship, "cell int, bucket int, rows binary, text binary")
     spans = shipped.groupBy("bucket").applyInArrow(match, "cell int, spans binary")
-    return dealt.groupBy("cell").cogroup(spans.groupBy("cell")).applyInArrow(finish, SCHEMA)
+    return full.groupBy("cell").cogroup(spans.groupBy("cell")).applyInArrow(finish, kinds)
+
+
+def dedup_texts(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the text that stays; characters that a cut broke are left out."""
+    others = tuple(c for c in docs.columns if c not in (id_col, text_col, "cell"))
+    left = remove_earlier(docs, length, id_col=id_col, text_col=text_col, carry=others)
+    return left.select(*[_whole_characters("kept_text").alias(c) if c == text_col else F.col("doc_id").alias(c) if c == id_col else F.col(c) for c in docs.columns if c != "cell"])
+
+
+def _whole_characters(col: str):
+    """UTF-8 bytes as a string without the bytes of incomplete characters."""
+    return F.replace(F.decode(F.col(col), "UTF-8"), F.lit("\ufffd"), F.lit(""))
 
 
 def _match_in_order(text: np.ndarray, at: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
