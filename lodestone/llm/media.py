@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-MIN_CHUNK, MAX_CHUNK, MASK_BITS = 2048, 16384, 12
+MIN_CHUNK, MAX_CHUNK, MASK_BITS = 4096, 32768, 12
+PRESS_LEVEL = 15
 RATE = 8000
 UNIT = 64
 #: Texts that the compression dictionary is made from, at most.
-DICTIONARY_TEXTS = 400
+DICTIONARY_TEXTS = 1000
 _CHUNKS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media_bytes", pa.int64()), ("media_sha", pa.binary()), ("place", pa.int32()), ("digest", pa.binary()), ("body", pa.binary())])
-_FILES = pa.schema([("media_sha", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_len", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
-_FILE_SCHEMA = "media_sha binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_len long, media_sha256 string, feature string"
+_FILES = pa.schema([("media_sha", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha", pa.binary()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("feature", pa.string()), ("n_chunks", pa.int64())])
+_FILE_SCHEMA = "media_sha binary, payload_bytes long, payload_sha binary, tail_crc32 long, media_bytes long, feature string, n_chunks long"
 _GEAR = C.mix(np.arange(256, dtype=np.uint64) + np.uint64(0x632BE59BD9B4E019))
 
 
@@ -99,7 +100,7 @@ def press_dictionary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     got = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id")).select(F.col(text_col).cast("string").alias("t")).where("t is not null")
     texts = sorted(r["t"].encode("utf-8", "surrogatepass") for r in got.collect())
     try:
-        return zstandard.train_dictionary(1 << 16, texts, k=200, d=8).as_bytes()
+        return zstandard.train_dictionary(112 << 10, texts, k=200, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b""
 
@@ -143,8 +144,8 @@ def chunk_store(chunks: DataFrame) -> DataFrame:
 def read_back(lists: DataFrame, store: DataFrame, dictionary: bytes = b"") -> DataFrame:
     """Reassemble files from ``lists(media_sha, place, digest, media_bytes)`` and the store.
 
-    One row per file: ``media_sha, payload_bytes, payload_sha256, tail_crc32, media_len,
-    media_sha256, feature``.  A file whose digest does not match raises an error.
+    One row per file: ``media_sha, payload_bytes, payload_sha, tail_crc32, media_bytes,
+    feature, n_chunks``.  A file whose digest does not match raises an error.
     """
     parts = lists.join(store, "digest").select("media_sha", "place", "media_bytes", "body")
 
@@ -156,12 +157,12 @@ def read_back(lists: DataFrame, store: DataFrame, dictionary: bytes = b"") -> Da
             for sha, size, body in zip(batch.column("media_sha").to_pylist(), batch.column("media_bytes").to_pylist(), batch.column("body").to_pylist()):
                 if sha != now:
                     if now is not None:
-                        rows.append(_measure(now, b"".join(pieces), due))
+                        rows.append(_measure(now, pieces, due))
                     now, pieces, due = sha, [], size
                 pieces.append(open_press.decompress(body, max_output_size=MAX_CHUNK * 2))
             yield _file_rows(rows)
         if now is not None:
-            yield _file_rows([_measure(now, b"".join(pieces), due)])
+            yield _file_rows([_measure(now, pieces, due)])
 
     return parts.repartition("media_sha").sortWithinPartitions("media_sha", "place").mapInArrow(files, _FILE_SCHEMA)
 
@@ -179,25 +180,26 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     store = chunk_store(chunk_media(docs, True, dictionary, id_col, text_col))
     distinct = lists.groupBy("media_sha", "place", "digest", "media_bytes").agg(F.lit(1).alias("one")).drop("one")
     files = read_back(distinct, store, dictionary)
-    counts = distinct.groupBy("media_sha").agg(F.count("*").alias("n_chunks"))
     owners = lists.where("place = 0").select("doc_id", "n_bytes", "media_sha")
-    found = owners.join(files, "media_sha").join(counts, "media_sha")
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("media_len").alias("media_bytes"), "media_sha256", "feature", "n_chunks")
+    hex_of = lambda c: F.lower(F.hex(c))
+    found = owners.join(files, "media_sha")
+    return found.select("doc_id", "n_bytes", "payload_bytes", hex_of("payload_sha").alias("payload_sha256"), "tail_crc32", "media_bytes", hex_of("media_sha").alias("media_sha256"), "feature", "n_chunks")
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=6)
+    return zstandard.ZstdCompressor(level=PRESS_LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=PRESS_LEVEL)
 
 
 def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdDecompressor()
 
 
-def _measure(sha: bytes, media: bytes, size: int) -> tuple:
+def _measure(sha: bytes, pieces: list[bytes], size: int) -> tuple:
+    media = b"".join(pieces)
     if len(media) != size or hashlib.sha256(media).digest() != sha:
         raise ValueError("a file read back differs from the file stored")
     payload = decode_wave(media)
-    return sha, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), sha.hex(), features(np.frombuffer(payload, np.uint8))
+    return sha, len(payload), hashlib.sha256(payload).digest(), zlib.crc32(payload[-UNIT:]), len(media), features(np.frombuffer(payload, np.uint8)), len(pieces)
 
 
 def _file_rows(rows: list[tuple]) -> pa.RecordBatch:
