@@ -11,17 +11,16 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import urls as U
 
-MANIFEST = T.StructType.fromDDL(
+MANIFEST = (
     "url string, final_url string, status int, error string, depth int, discovered_from string, content_type string, kind string, raw_path string, fetched_at string, from_cache boolean, outlinks array<string>, "
     "looks_unrendered boolean, soft_404 boolean, blocked boolean, imported_from string, rendered boolean, refetched boolean, words_before int, words_after int"
 )
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines under a fixed schema; a missing file is an empty table."""
     try:
         return spark.read.schema(schema).json(path)
