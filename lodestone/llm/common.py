@@ -13,6 +13,7 @@ carry therefore costs one entry per cell, never one per document.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zlib
 from collections.abc import Iterable, Iterator
@@ -50,6 +51,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that a checkpoint has cut off.
+
+    It does so when its driver finds them unreachable, which may otherwise take long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def column_bytes(df: DataFrame, col: str) -> int:
     """Total UTF-8 bytes of a text column: one cheap aggregate, no text moves."""
     got = df.agg(F.sum(F.octet_length(F.col(col).cast("string"))).alias("b")).first()

@@ -38,6 +38,8 @@ SAMPLED = 0.4
 _LIMIT = C.U64(int(SAMPLED * (1 << 64)))
 SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
 LEAF = 32
+#: Documents of one chunk; a tile holds the sets of two chunks.
+TILE = 512
 _SENT = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
 
 _SETS = "doc_id long, n_shingles long, d1 long, d2 long, m1 long, m2 long, points array<int>, shingles array<long>, keys array<long>"
@@ -195,24 +197,64 @@ def _block_pairs(table: pa.Table, threshold: int) -> pa.Table:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose sets link, by exact intersection."""
-    side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("shingles").alias(f"s_{n}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    inter = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-    return both.where(100 * inter >= threshold * (F.col("n_a") + F.col("n_b") - inter)).select("a", "b")
+    """Pairs (a, b) whose sets link, by exact intersection.
 
-
-def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Components of documents whose shingle sets have Jaccard similarity >= threshold %.
-
-    Returns ``doc_id, n_shingles, component_id``, one row per input row; component_id is
-    the smallest doc_id reachable by links, itself included.  Null and empty texts and
-    texts without words have empty sets and link with nothing.  Repeated rows (one id
-    twice) are one node.  Ids must not be null; other columns are ignored.  An empty
-    table gives an empty result.
+    Pairs are dealt to tiles: documents that share their smallest partner form a cluster,
+    a cluster is cut into chunks of about TILE documents, and a pair belongs to the tile
+    of its two chunks.  A set travels once to each tile that needs it, however many of
+    its pairs are there.
     """
-    total = C.column_bytes(docs, text_col)
-    n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES)
+    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("c"))
+    sizes = near.groupBy("c").agg(F.count("*").alias("n"))
+    chunk = near.join(sizes, "c").select(F.col("a").alias("doc_id"), F.xxhash64("c", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / TILE))).alias("chunk"))
+    tiled = pairs.join(chunk.select(F.col("doc_id").alias("a"), F.col("chunk").alias("ca")), "a").join(chunk.select(F.col("doc_id").alias("b"), F.col("chunk").alias("cb")), "b")
+    tiled = tiled.select(F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")).alias("tile"), "a", "b")
+    need = tiled.select(F.col("tile").alias("spot"), F.col("a").alias("doc_id")).union(tiled.select("tile", F.col("b"))).distinct()
+    brought = need.join(sets.select("doc_id", "shingles"), "doc_id").select("spot", "doc_id", "shingles")
+
+    def check(key, left, right):
+        return _check_tile(left, right, threshold)
+
+    return tiled.groupBy("tile").cogroup(brought.groupBy("spot")).applyInArrow(check, "a long, b long")
+
+
+def _check_tile(pairs: pa.Table, sets: pa.Table, threshold: int) -> pa.Table:
+    """The pairs of a tile that link; intersections by one product of 0/1 matrices a block of shingles."""
+    ids = sets.column("doc_id").to_numpy()
+    lists = sets.column("shingles").combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int64)
+    flat = lists.flatten().to_numpy() if len(lists) else np.empty(0, np.int64)
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    order = np.argsort(ids, kind="stable")
+    at = lambda name: order[np.searchsorted(ids[order], pairs.column(name).to_numpy())]
+    a, b = at("a"), at("b")
+    shared = np.zeros(len(a), np.int64)
+    _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = times > 1  # a shingle of one set alone is in no intersection
+    place = np.cumsum(often) - 1
+    use = often[code]
+    owner, code = owner[use], place[code[use]]
+    by = np.argsort(code, kind="stable")
+    owner, code = owner[by], code[by]
+    step = max(256, (16 << 20) // (4 * max(1, len(ids))))
+    for lo in range(0, int(often.sum()), step):
+        s = slice(*np.searchsorted(code, (lo, lo + step)))
+        m = np.zeros((len(ids), step), np.float32)
+        m[owner[s], code[s] - lo] = 1
+        if len(a) * 8 > len(ids) ** 2:
+            shared += np.rint((m @ m.T)[a, b]).astype(np.int64)
+        else:
+            for k in range(0, len(a), 1024):
+                t = slice(k, k + 1024)
+                shared[t] += np.rint(np.einsum("ij,ij->i", m[a[t]], m[b[t]])).astype(np.int64)
+    link = 100 * shared >= threshold * (sizes[a] + sizes[b] - shared)
+    return pairs.select(["a", "b"]).filter(pa.array(link))
+
+
+def _candidate_sets(docs: DataFrame, threshold: int, shingle: int, n_cells: int, n_buckets: int, id_col: str, text_col: str) -> DataFrame:
+    """Every document with its set's size and digests; possible partners bring set, point and keys."""
     dealt = C.cells(docs, n_cells, id_col, text_col)
 
     def distinct_sets(table):
@@ -271,8 +313,22 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     back = C.shared_keys(dealt.groupBy("cell").applyInArrow(look_up, sent)).withColumn("level", F.lit(0))
     more = C.shared_keys(dealt.groupBy("cell").cogroup(back.groupBy("cell")).applyInArrow(ask, sent)).withColumn("level", F.lit(1))
     answers = back.unionByName(more)
-    every = C.cut(dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(answer, _SETS))
+    return C.cut(dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(answer, _SETS))
+
 
+def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Components of documents whose shingle sets have Jaccard similarity >= threshold %.
+
+    Returns ``doc_id, n_shingles, component_id``, one row per input row; component_id is
+    the smallest doc_id reachable by links, itself included.  Null and empty texts and
+    texts without words have empty sets and link with nothing.  Repeated rows (one id
+    twice) are one node.  Ids must not be null; other columns are ignored.  An empty
+    table gives an empty result.
+    """
+    total = C.column_bytes(docs, text_col)
+    n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES)
+    every = _candidate_sets(docs, threshold, shingle, n_cells, n_buckets, id_col, text_col)
+    C.release(docs.sparkSession)
     nodes = every.select("doc_id", "n_shingles", "d1", "d2").distinct()
     filled = nodes.where("n_shingles > 0")
     classes = filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
@@ -286,13 +342,15 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
         stars = star if stars is None else stars.union(star)
     seeds = C.cut(_verify(stars.distinct(), sets, threshold))
     first = connected_components(seeds)
+    C.release(docs.sparkSession)
 
     labelled = sets.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     keyed = labelled.select("doc_id", "component", F.explode("keys").alias("key"))
     open_keys = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     block_rows = keyed.join(open_keys, "key").join(labelled.select("doc_id", "n_shingles", "points"), "doc_id")
     bucketed = block_rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets * 4)))
-    candidates = bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct()
+    candidates = C.cut(bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct())
+    C.release(docs.sparkSession)
     links = _verify(candidates, sets, threshold)
     edges = C.cut(seeds.union(links).union(same.select("a", "b")))
     final = connected_components(edges)
