@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from . import common as C
 from .components import connected_components
 
-GROUPS = 64
+GROUPS = 256
+#: A group count is kept in a byte; this one stands for itself and all larger ones, and bounds nothing.
+FULL = 255
 #: Share of shingles (by hash) that are looked up across the corpus.
 SAMPLED = 0.4
 _LIMIT = C.U64(int(SAMPLED * (1 << 64)))
@@ -42,10 +44,10 @@ LEAF = 32
 TILE = 512
 _SENT = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
 
-_SETS = "doc_id long, n_shingles long, d1 long, d2 long, m1 long, m2 long, points array<int>, shingles array<long>, keys array<long>"
+_SETS = "doc_id long, n_shingles long, d1 long, d2 long, m1 long, m2 long, points binary, shingles array<long>, keys array<long>"
 _SETS_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("m1", pa.int64()), ("m2", pa.int64())]
-    + [("points", pa.list_(pa.int32())), ("shingles", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
+    + [("points", pa.binary()), ("shingles", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
 )
 
 
@@ -110,10 +112,10 @@ def min_hashes(keys: np.ndarray, offs: np.ndarray, seed: int) -> np.ndarray:
 
 
 def count_points(keys: np.ndarray, offs: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Group counts of each set, one row a set."""
+    """Group counts of each set, one row of bytes a set."""
     n = len(offs) - 1
     owner = np.repeat(np.arange(n), np.diff(offs))
-    return np.bincount(owner * groups + (keys % C.U64(groups)).astype(np.int64), minlength=n * groups).reshape(n, groups).astype(np.int32)
+    return np.bincount(owner * groups + (keys % C.U64(groups)).astype(np.int64), minlength=n * groups).reshape(n, groups).clip(0, FULL).astype(np.uint8)
 
 
 # ---------------------------------------------------------------- the R-tree
@@ -173,9 +175,9 @@ def _block_pairs(table: pa.Table, threshold: int) -> pa.Table:
     doc = table.column("doc_id").to_numpy()
     comp = table.column("component").to_numpy()
     size = table.column("n_shingles").to_numpy()
-    flat = table.column("points").combine_chunks()
-    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
-    points = flat.flatten().to_numpy().reshape(len(key), -1)
+    points = np.frombuffer(b"".join(table.column("points").to_pylist()), np.uint8).reshape(len(key), -1)
+    if (points == FULL).any():
+        points = np.where(points == FULL, 1 << 20, points.astype(np.int32))
     order = np.argsort(key, kind="stable")
     edges = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
     left, right = [], []
@@ -304,7 +306,7 @@ def _candidate_sets(docs: DataFrame, threshold: int, shingle: int, n_cells: int,
             for d in range(len(offs) - 1):
                 row = (ids[i + d], offs[d + 1] - offs[d], d1.view(np.int64)[d], d2.view(np.int64)[d], m[0].view(np.int64)[d], m[1].view(np.int64)[d])
                 mine = p[at[d] : at[d + 1]]
-                row += (points[d], keys[offs[d] : offs[d + 1]].view(np.int64), mine.view(np.int64)) if len(mine) else (None, None, None)
+                row += (points[d].tobytes(), keys[offs[d] : offs[d + 1]].view(np.int64), mine.view(np.int64)) if len(mine) else (None, None, None)
                 for name, value in zip(_SETS_ARROW.names, row):
                     out[name].append(value)
         return pa.table(out, schema=_SETS_ARROW)
@@ -348,7 +350,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     keyed = labelled.select("doc_id", "component", F.explode("keys").alias("key"))
     open_keys = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     block_rows = keyed.join(open_keys, "key").join(labelled.select("doc_id", "n_shingles", "points"), "doc_id")
-    bucketed = block_rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets * 4)))
+    bucketed = block_rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets)))
     candidates = C.cut(bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct())
     C.release(docs.sparkSession)
     links = _verify(candidates, sets, threshold)

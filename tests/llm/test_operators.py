@@ -198,6 +198,14 @@ def test_count_tree_finds_every_pair_within_the_bound():
     assert got == want and len(want) >= 10
 
 
+def test_full_group_counts_bound_nothing():
+    keys = np.arange(3000, dtype=np.uint64) * np.uint64(jaccard_join.GROUPS)  # all in one group
+    points = jaccard_join.count_points(keys, np.array([0, 2000, 3000]))
+    assert points.dtype == np.uint8 and points[:, 0].tolist() == [jaccard_join.FULL] * 2
+    table = pa.table({"key": [1, 1], "doc_id": [5, 6], "component": [5, 6], "n_shingles": [2000, 2500], "points": [p.tobytes() for p in points]})
+    assert jaccard_join._block_pairs(table, 80).to_pydict() == {"a": [5], "b": [6]}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 30)] + [(50, 60), (60, 50), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
