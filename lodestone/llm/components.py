@@ -19,8 +19,9 @@ MAX_ROUNDS = 40
 
 def _forest(batches):
     """Spanning stars (root, node) of the edges of one partition, root the smallest node."""
-    for batch in batches:
-        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    seen = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+    if seen:
+        a, b = (np.concatenate(x) for x in zip(*seen))
         nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
         i, j = at[: len(a)], at[len(a) :]
         root = np.arange(len(nodes))
@@ -43,19 +44,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Self-loops and repeated edges do no harm; no edges give no rows.
     """
     now = C.cut(edges.where("a <> b").mapInArrow(_forest, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    mark = None
     for _ in range(MAX_ROUNDS):
+        if _settled(now):
+            break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b")
-        large = large.distinct()
+        large = C.cut(large.distinct())
         # small star: from each node to its smaller neighbours
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         linked = large.join(low, "b")
         now = C.cut(linked.select(F.col("m").alias("a"), "b").union(linked.select(F.col("m").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-        got = now.agg(F.count("*").alias("n"), F.sum("a").cast("decimal(38,0)").alias("s"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"), F.count_distinct("b").alias("d")).first()
-        new = (got["n"], got["s"], got["h"])
-        if new == mark or got["n"] == 0:
-            break
-        mark = new
+    else:
+        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return now.select(F.col("b").alias("node"), F.col("a").alias("component"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two roots, and no root has one."""
+    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(edges.select("a", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("child").alias("c"), F.max("root").alias("r")).where("c > 1 or (c > 0 and r > 0)").isEmpty()

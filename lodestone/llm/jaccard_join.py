@@ -206,12 +206,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     of its two chunks.  A set travels once to each tile that needs it, however many of
     its pairs are there.
     """
+    pairs = C.cut(pairs)  # it is read many times below
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("c"))
     sizes = near.groupBy("c").agg(F.count("*").alias("n"))
     chunk = near.join(sizes, "c").select(F.col("a").alias("doc_id"), F.xxhash64("c", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / TILE))).alias("chunk"))
     tiled = pairs.join(chunk.select(F.col("doc_id").alias("a"), F.col("chunk").alias("ca")), "a").join(chunk.select(F.col("doc_id").alias("b"), F.col("chunk").alias("cb")), "b")
-    tiled = tiled.select(F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")).alias("tile"), "a", "b")
+    tiled = C.cut(tiled.select(F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")).alias("tile"), "a", "b"))
     need = tiled.select(F.col("tile").alias("spot"), F.col("a").alias("doc_id")).union(tiled.select("tile", F.col("b"))).distinct()
     brought = need.join(sets.select("doc_id", "shingles"), "doc_id").select("spot", "doc_id", "shingles")
 
@@ -334,6 +335,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     nodes = every.select("doc_id", "n_shingles", "d1", "d2").distinct()
     filled = nodes.where("n_shingles > 0")
     classes = filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = C.cut(classes)
     same = filled.join(classes.where("copies > 1"), ["d1", "d2", "n_shingles"]).where("doc_id <> rep").select(F.col("doc_id").alias("b"), F.col("rep").alias("a"))
     sets = every.where(F.col("shingles").isNotNull()).join(classes.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
 
@@ -351,8 +353,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     open_keys = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     block_rows = keyed.join(open_keys, "key").join(labelled.select("doc_id", "n_shingles", "points"), "doc_id")
     bucketed = block_rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets)))
-    candidates = C.cut(bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct())
-    C.release(docs.sparkSession)
+    candidates = bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct()
     links = _verify(candidates, sets, threshold)
     edges = C.cut(seeds.union(links).union(same.select("a", "b")))
     final = connected_components(edges)
