@@ -21,9 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
+
 #: A subtree recurs if it is on so many different pages of its host, and on this share of them.
 MIN_PAGES, MIN_SHARE = 4, 0.05
-#: Page bytes of one group when extracting.
+#: Hashes of all hosts' templates (8 bytes each) that may be broadcast.
+MAX_BROADCAST = 500_000
 SCHEMA = "page_id long, url string, text string, n_chars long, n_template long"
 
 #: Fixed values of the HTML standard.
@@ -273,7 +276,11 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
     counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
     recurring = counts.where(F.col("on") >= min_pages).join(sizes, "host").where(F.col("on") >= min_share * F.col("pages")).select("host", "hash")
     # a host's recurring subtrees are at most (subtrees of a page) / min_share: a bounded list
-    template = recurring.groupBy("host").agg(F.collect_list("hash").alias("template"))
+    template = C.cut(recurring.groupBy("host").agg(F.collect_list("hash").alias("template")))
+    size = template.agg(F.coalesce(F.sum(F.size("template") + 8), F.lit(0)).alias("n")).first()["n"]
+    # up to MAX_BROADCAST hashes travel to every executor, and no page moves; beyond, both
+    # sides are shuffled by host and adaptive execution splits the hosts with many pages
+    template = F.broadcast(template) if size <= MAX_BROADCAST else template
 
     def texts(batches):
         for batch in batches:
