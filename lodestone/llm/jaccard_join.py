@@ -263,9 +263,13 @@ def _candidate_sets(docs: DataFrame, threshold: int, shingle: int, n_cells: int,
     def distinct_sets(table):
         """Batches of a cell's shingle sets with a mask of those not met before in it."""
         seen: set = set()
-        for i, keys, offs in shingle_sets(table, shingle):
+        for i, keys, offs in shingle_sets(in_order(table), shingle):
             yield i, keys, offs, _first_of_equal(keys, offs, seen)
 
+    def in_order(table):
+        """By id, so that of equal sets in a cell the smallest id is the one that counts."""
+        return table.sort_by("doc_id")
+
     def sampled(table):
         out = [keys[(keys < _LIMIT) & np.repeat(fresh, np.diff(offs))] for _, keys, offs, fresh in distinct_sets(table)]
         return C.distinct_and_repeated(np.concatenate(out) if out else np.empty(0, np.uint64))
@@ -295,7 +299,7 @@ def _candidate_sets(docs: DataFrame, threshold: int, shingle: int, n_cells: int,
         batches = prefixes(table, back)
         _, local = C.distinct_and_repeated(np.concatenate([p for *_, p, _ in batches]))
         wanted = np.union1d(local, C.received(_level(back, 1)))
-        ids = table.column("doc_id").to_numpy()
+        ids = in_order(table).column("doc_id").to_numpy()
         out: dict[str, list] = {n: [] for n in _SETS_ARROW.names}
         for i, keys, offs, p, owner in batches:
             d1, d2 = digests(keys, offs)

@@ -188,6 +188,16 @@ def test_op5_equals_brute_force(spark):
     assert jaccard_join.near_duplicates(empty(spark)).count() == 0
 
 
+def test_op5_does_not_depend_on_the_order_of_rows(spark):
+    """The smallest id of equal sets comes last, so it is not the first that its cell reads."""
+    words = vocabulary(4)
+    base = " ".join(words[:90])
+    near = " ".join([*words[:88], "x", "y"])
+    rows = [(k, base) for k in range(40, 0, -1)] + [(99, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r["component_id"] for r in jaccard_join.near_duplicates(df).collect()} == {1}
+
+
 def test_count_tree_finds_every_pair_within_the_bound():
     rng = np.random.default_rng(4)
     points = rng.poisson(3, (150, 8)).astype(np.int32)
