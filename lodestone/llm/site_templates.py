@@ -5,9 +5,9 @@ and text, numbers taken out), and Spark counts, for each host, on how many diffe
 pages a hash occurs.  Subtrees recurring across many pages of their host are deleted,
 with elements that are never content (menus, forms, scripts, notices, adverts ...).
 
-Elements that a page itself declares as its content (article, main) are only searched
-for the second kind: what recurs in there is repeated content, not template.  Pages
-with equal bodies count once, so copies of a page do not make its text a template.
+Elements that a page itself declares as its content (article, main) bound the text, but
+what recurs inside them is deleted like anything else.  Pages of equal content count
+once, so copies of a page do not make its text a template.
 """
 
 from __future__ import annotations
@@ -161,22 +161,26 @@ def has_text(node: Node) -> bool:
     return any((c.strip() if isinstance(c, str) else has_text(c)) for c in node.children)
 
 
-def subtree_hashes(node: Node, out: list[tuple[int, Node]]) -> str:
-    """Depth-first text of a subtree; appends (hash, element) for each block element."""
+def subtree_hashes(node: Node, out: list[tuple[int, Node]], in_main: bool) -> str:
+    """Depth-first text of a subtree without what is never content; appends (hash, element) for each block element."""
     parts = [node.tag]
     for c in node.children:
         if isinstance(c, str):
             t = _SPACE.sub(" ", c).strip()
             if t:
                 parts.append(_DIGITS.sub("0", t))
-        else:
-            parts.append(subtree_hashes(c, out))
+        elif not never_content(c, in_main):
+            parts.append(subtree_hashes(c, out, in_main or c.tag in MAIN or c.role == "main"))
     text = "\x00".join(parts)
     if node.tag not in INLINE and len(parts) > 1:
-        out.append((int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True), node))
+        out.append((hash_text(text), node))
     return text
 
 
+def hash_text(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def blocks(node: Node, dropped: set[int], in_main: bool, out: list[str], run: list[str]) -> None:
     """Append the texts of blocks in page order; ``run`` is the inline text so far."""
     for c in node.children:
@@ -203,17 +207,24 @@ def flush(out: list[str], run: list[str]) -> None:
         run.clear()
 
 
-def candidates(page: str) -> list[int]:
-    """Hashes of the block subtrees that may be template: those outside declared content."""
+def candidates(page: str) -> tuple[list[int], list[int]]:
+    """Hashes of a page's block subtrees, and of those that make up its content (all, if it declares none)."""
     root = parse(page)
     roots = main_roots(root)
-    if roots != [root]:
-        return []
+    found = _subtrees(root)
+    everything = sorted({h for h, _ in found})
+    if roots == [root]:
+        return everything, everything
+    inside: list[tuple[int, Node]] = []
+    return everything, sorted({hash_text(subtree_hashes(r, inside, True)) for r in roots})
+
+
+def _subtrees(root: Node) -> list[tuple[int, Node]]:
     out: list[tuple[int, Node]] = []
     for c in root.children:
         if isinstance(c, Node):
             _outside(c, out)
-    return sorted({h for h, _ in out})
+    return out
 
 
 def _outside(node: Node, out: list[tuple[int, Node]]) -> None:
@@ -224,25 +235,20 @@ def _outside(node: Node, out: list[tuple[int, Node]]) -> None:
             if isinstance(c, Node):
                 _outside(c, out)
     else:
-        subtree_hashes(node, out)
+        subtree_hashes(node, out, node.tag in MAIN or node.role == "main")
 
 
 def extract(page: str, template: set[int]) -> tuple[str, int]:
     """Main text of a page and the number of template subtrees deleted."""
     root = parse(page)
     roots = main_roots(root)
-    dropped: set[int] = set()
-    if roots == [root] and template:
-        found: list[tuple[int, Node]] = []
-        for c in root.children:
-            if isinstance(c, Node):
-                _outside(c, found)
-        dropped = {id(n) for h, n in found if h in template}
+    dropped = {id(n) for h, n in _subtrees(root) if h in template} if template else set()
     out: list[str] = []
     for r in roots:
-        run: list[str] = []
-        blocks(r, dropped, roots != [root], out, run)
-        flush(out, run)
+        if id(r) not in dropped:
+            run: list[str] = []
+            blocks(r, dropped, roots != [root], out, run)
+            flush(out, run)
     return " ".join(out), len(dropped)
 
 
@@ -263,15 +269,15 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
         for batch in batches:
             hosts, body, hashes = [], [], []
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                got = candidates(page)
+                got, content = candidates(page)
                 if got:
                     hosts.append(host)
                     hashes.append(got)
-                    body.append(int.from_bytes(hashlib.blake2b(np.array(got, "<i8").tobytes(), digest_size=8).digest(), "little", signed=True))
+                    body.append(int.from_bytes(hashlib.blake2b(np.array(content, "<i8").tobytes(), digest_size=8).digest(), "little", signed=True))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(body, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "body", "hashes"])
 
-    # pages of equal subtrees count once; both counts combine before they are shuffled
-    trees = rows.select("host", "html").mapInArrow(hash_rows, "host string, body long, hashes array<long>").groupBy("host", "body").agg(F.first("hashes").alias("hashes"))
+    # pages of equal content count once; both counts combine before they are shuffled
+    trees = rows.select("host", "html").mapInArrow(hash_rows, "host string, body long, hashes array<long>").groupBy("host", "body").agg(F.min("hashes").alias("hashes"))
     sizes = trees.groupBy("host").agg(F.count("*").alias("pages"))
     counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
     recurring = counts.where(F.col("on") >= min_pages).join(sizes, "host").where(F.col("on") >= min_share * F.col("pages")).select("host", "hash")

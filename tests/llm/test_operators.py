@@ -424,6 +424,16 @@ def test_op1_copies_are_not_template(spark):
     assert {r["text"] for r in got} == {"Every page has this line News same Body & text same"}
 
 
+def test_op1_removes_what_recurs_inside_declared_content(spark):
+    page = '<nav>n</nav><{1}><h1>News {0}</h1><div><p>Read our other stories</p></div><p>Body {0}</p><div class="ad">{2}</div></{1}><p>Tail {2}</p>'
+    words = vocabulary(6)
+    rows = [(i, "https://c.example/x", page.format(words[i], ("article", "main")[i % 2], words[50 + i])) for i in range(8)]
+    rows += [(20 + i, "https://c.example/y", page.format("copied", "article", words[100 + i])) for i in range(8)]
+    got = {r["page_id"]: r for r in site_templates.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i]["text"] == f"News {words[i]} Body {words[i]}" and got[i]["n_template"] == 2 for i in range(8))
+    assert all(got[20 + i]["text"] == "News copied Body copied" for i in range(8))
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
