@@ -187,22 +187,28 @@ def _spans_blob(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return np.stack((ids, starts, ends)).astype("<i8").tobytes() if len(ids) else b""
 
 
-def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
     """Remove every byte that a ``length``-byte string with an earlier occurrence covers.
 
     One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and
     ``kept_text`` (binary, as a cut may fall inside a character).  Null and empty texts
     have no bytes; texts shorter than ``length`` are kept whole; of repeated rows the
     first is kept (rows of one id in order of text).  Columns named in ``carry`` pass
-    through; other columns are ignored.  An empty table gives an empty result.
+    through; other columns are ignored.  An empty table gives an empty result.  With
+    ``whole``, ``kept_text`` is a string without the characters that cuts broke; the
+    other columns stay as they are.
     """
     total = C.column_bytes(docs, text_col)
     n_cells, n_buckets = C.parts(total, CELL_BYTES), C.parts(total, BUCKET_BYTES)
     dealt = C.cells(docs, n_cells, id_col, text_col)
     full = C.cells(docs, n_cells, id_col, text_col, carry) if carry else dealt
     kinds = T._parse_datatype_string(SCHEMA)
+    if whole:
+        kinds["kept_text"].dataType = T.StringType()
     kinds = T.StructType([*kinds.fields, *[docs.schema[c] for c in carry]])
 
+    arrow = _ARROW.set(_ARROW.get_field_index("kept_text"), pa.field("kept_text", pa.string())) if whole else _ARROW
+
     def ask(key, table):
         got = [anchor for _, _, _, anchor, *_ in _cell_extents(table, length, gram)]
         keys, _ = C.distinct_and_repeated(np.concatenate(got) if got else np.empty(0, C.U64))
@@ -265,13 +271,14 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
 
     def finish(key, table, back):
         if not table.num_rows:
-            return pa.schema([*_ARROW, *[table.schema.field(c) for c in carry]]).empty_table()
+            return pa.schema([*arrow, *[table.schema.field(c) for c in carry]]).empty_table()
         table, ids = _sorted_cell(table)
         blobs = [np.frombuffer(x, "<i8").reshape(3, -1) for x in back.column("spans").to_pylist()]
         spans = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), np.int64)
         buf, offs = C.text_buffer(table.column("text"))
         doc = spans[0]
         gone = C.cover(offs[doc] + spans[1], offs[doc] + spans[2], len(buf))
+        broken = _whole_characters(buf, gone) if whole else gone
         out: dict[str, list] = {n: [] for n in _ARROW.names}
         for d in range(len(ids)):
             g = gone[offs[d] : offs[d + 1]]
@@ -280,9 +287,9 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
             out["n_removed"].append(len(g) - len(kept))
             out["n_spans"].append(int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept_text"].append(kept)
+            out["kept_text"].append(buf[offs[d] : offs[d + 1]][~broken[offs[d] : offs[d + 1]]].tobytes().decode("utf-8", "replace") if whole else kept)
         out["doc_id"] = table.column("doc_id")
-        done = pa.table(out, schema=_ARROW)
+        done = pa.table(out, schema=arrow)
         for c in carry:
             done = done.append_column(c, table.column(c))
         return done
@@ -297,13 +304,16 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
 def dedup_texts(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text that stays; characters that a cut broke are left out."""
     others = tuple(c for c in docs.columns if c not in (id_col, text_col, "cell"))
-    left = remove_earlier(docs, length, id_col=id_col, text_col=text_col, carry=others)
-    return left.select(*[_whole_characters("kept_text").alias(c) if c == text_col else F.col("doc_id").alias(c) if c == id_col else F.col(c) for c in docs.columns if c != "cell"])
+    left = remove_earlier(docs, length, id_col=id_col, text_col=text_col, carry=others, whole=True)
+    return left.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("doc_id").alias(c) if c == id_col else F.col(c) for c in docs.columns if c != "cell"])
 
 
-def _whole_characters(col: str):
-    """UTF-8 bytes as a string without the bytes of incomplete characters."""
-    return F.replace(F.decode(F.col(col), "UTF-8"), F.lit("\ufffd"), F.lit(""))
+def _whole_characters(buf: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with every UTF-8 character of which it has a byte; bytes of two cuts never make up a new one."""
+    if not len(buf):
+        return gone
+    char = np.cumsum((buf & 0xC0) != 0x80)
+    return (np.bincount(char, weights=gone, minlength=int(char[-1]) + 1) > 0)[char]
 
 
 def _match_in_order(text: np.ndarray, at: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

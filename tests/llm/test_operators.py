@@ -132,6 +132,16 @@ def test_op10_keeps_one_of_repeated_rows_and_all_columns(spark):
     assert sorted(len(r["text"]) > 0 for r in got) == [False, False, True] and sorted(r["source"] for r in got) == ["x", "x", "y"]
 
 
+def test_op10_cuts_inside_characters_and_keeps_replacement_characters(spark):
+    shared = "".join(vocabulary())[:400]
+    rows = [(1, shared + "é one \ufffd"), (2, shared + "è two \ufffd"), (3, "three \u00e9" + shared[:200]), (4, "four \u0129" + shared[:200])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = {r["doc_id"]: bytes(r["kept_text"]) for r in suffix_dedup.remove_earlier(df).collect()}
+    assert cut[2][:1] == "è".encode()[1:]
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.dedup_texts(df).collect()}
+    assert got == {1: rows[0][1], 2: " two \ufffd", 3: "three é", 4: "four "}
+
+
 def test_index_family_levels_are_geometric_and_exact():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
