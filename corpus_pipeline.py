@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.llm import common as C
 from lodestone.llm import jaccard_join, packing, quality, suffix_dedup, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,10 +28,17 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every group of near duplicates."""
+    """The smallest id of every group of near duplicates, and all rows without an id.
+
+    Rows of one id and equal texts are reduced to one; other texts of that id stay.
+    """
+    docs = docs.select(*COLUMNS)
     groups = jaccard_join.near_duplicates(docs)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stay, "doc_id", "left_semi").select(*COLUMNS)
+    stay = C.cut(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
+    once = docs.join(stay.where("n = 1"), "doc_id", "left_semi")
+    # only rows of repeated ids are compared, so the others' texts do not move again
+    again = docs.join(stay.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.select(*COLUMNS).union(again.select(*COLUMNS)).union(docs.where("doc_id is null"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -329,9 +329,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     Returns ``doc_id, n_shingles, component_id``, one row per input row; component_id is
     the smallest doc_id reachable by links, itself included.  Null and empty texts and
     texts without words have empty sets and link with nothing.  Repeated rows (one id
-    twice) are one node.  Ids must not be null; other columns are ignored.  An empty
-    table gives an empty result.
+    twice) are one node.  Rows with a null id link with nothing: their component_id is
+    null.  Other columns are ignored.  An empty table gives an empty result.
     """
+    every_row, docs = docs, docs.where(F.col(id_col).isNotNull())
     total = C.column_bytes(docs, text_col)
     n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES)
     every = _candidate_sets(docs, threshold, shingle, n_cells, n_buckets, id_col, text_col)
@@ -365,9 +366,25 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
         every.select("doc_id", "n_shingles")
         .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .union(_without_id(every_row, shingle, id_col, text_col))
     )
 
 
+def _without_id(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows with a null id: the sizes of their sets, and no component."""
+
+    def run(batches):
+        for batch in batches:
+            table = pa.table({"text": batch.column("text")})
+            sizes = [np.diff(offs) for _, _, offs in shingle_sets(table, shingle)]
+            n = pa.array(np.concatenate(sizes) if sizes else np.empty(0, np.int64), pa.int64())
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, n, none], names=["doc_id", "n_shingles", "component_id"])
+
+    rows = docs.where(F.col(id_col).isNull()).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, component_id long")
+
+
 def _level(back: pa.Table, level: int) -> pa.Table:
     return back.filter(pa.array(back.column("level").to_numpy(zero_copy_only=False) == level)) if back.num_rows else back
 

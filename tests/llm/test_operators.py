@@ -208,6 +208,19 @@ def test_op5_does_not_depend_on_the_order_of_rows(spark):
     assert {r["component_id"] for r in jaccard_join.near_duplicates(df).collect()} == {1}
 
 
+def test_op5_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(vocabulary(k)[:60]) for k in (21, 22, 23))
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, a), (None, None), (5, b), (5, b), (5, c), (6, c)]
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(df).collect())
+    assert got == {(1, 56, 1): 2, (2, 56, 1): 1, (None, 56, None): 2, (None, 0, None): 1, (5, 56, 5): 3, (6, 56, 5): 1}
+    stay = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert stay.columns == corpus_pipeline.COLUMNS
+    assert collections.Counter((r["doc_id"], r["text"]) for r in stay.collect()) == {(1, a): 1, (None, a): 2, (None, None): 1, (5, b): 1, (5, c): 1}
+
+
 def test_count_tree_finds_every_pair_within_the_bound():
     rng = np.random.default_rng(4)
     points = rng.poisson(3, (150, 8)).astype(np.int32)
