@@ -352,6 +352,37 @@ def test_op6_base_counts(spark):
         assert r["score"] < 0
 
 
+def test_op6_learns_from_every_training_document(spark, monkeypatch):
+    """One text far longer than all others, wherever a sample starts, does not stand for them."""
+    rng, words = random.Random(12), vocabulary(12)
+    long = max((i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2), key=lambda i: zlib.crc32(b"%d" % i))
+    rows = [(i, " ".join(rng.choice(words) for _ in range(220_000 if i == long else 30))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = bpe.tokenizer_file("byte_bpe_50k.tiktoken")
+    seen = []
+    real = attention_lm.assemble
+    monkeypatch.setattr(attention_lm, "assemble", lambda *a: seen.append(a) or real(*a))
+    attention_lm.fit(df, path)
+    counts, klass, pairs = seen[0][:3]
+    sub = attention_lm.SubwordIds.shared(path)
+    want = np.zeros_like(pairs)
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            c = klass[np.frombuffer(sub.encode(attention_lm._lower_words(t.encode())), "<u2")]
+            np.add.at(want, (np.append(attention_lm.CLASSES, c[:-1]), c), 1)
+    assert np.array_equal(pairs, want) and pairs.sum() == counts.sum()
+
+
+def test_op6_passages_come_from_many_documents_and_grow(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "LEAST_PASSAGES", 40)
+    monkeypatch.setattr(attention_lm, "PASSAGE_SHARE", 0.1)
+    path, words = bpe.tokenizer_file("byte_bpe_50k.tiktoken"), vocabulary(12)
+    docs = lambda n: spark.createDataFrame([(i, f"{words[i % 300]} " * 1500) for i in range(n)], "doc_id long, text string")
+    few, many = (attention_lm._passages(docs(n), path) for n in (30, 300))
+    assert 20 <= len(few) <= 60 and len(many) > 2 * len(few) and len({bytes(x[:4]) for x in many}) > 50
+    assert max(map(len, many)) <= attention_lm.PASSAGE
+
+
 def test_op6_windows_score_each_id_once():
     rng = np.random.default_rng(6)
     sub = attention_lm.SubwordIds.shared(bpe.tokenizer_file("byte_bpe_50k.tiktoken"))
