@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: A subtree recurs if it is on so many different pages of its host, and on this share of them.
-MIN_PAGES, MIN_SHARE = 4, 0.05
+#: A subtree recurs if it is on so many different pages of its host, whatever the host's size.
+MIN_PAGES = 4
+#: Html bytes of a cell, where templates are joined.
+CELL_BYTES = 16 << 20
 #: Hashes of all hosts' templates (8 bytes each) that may be broadcast.
 MAX_BROADCAST = 500_000
 SCHEMA = "page_id long, url string, text string, n_chars long, n_template long"
@@ -238,11 +240,11 @@ def _outside(node: Node, out: list[tuple[int, Node]]) -> None:
         subtree_hashes(node, out, node.tag in MAIN or node.role == "main")
 
 
-def extract(page: str, template: set[int]) -> tuple[str, int]:
-    """Main text of a page and the number of template subtrees deleted."""
+def extract(page: str, template: set[int], salt: int = 0) -> tuple[str, int]:
+    """Main text of a page and the number of template subtrees deleted (``template``: hashes ^ ``salt``)."""
     root = parse(page)
     roots = main_roots(root)
-    dropped = {id(n) for h, n in _subtrees(root) if h in template} if template else set()
+    dropped = {id(n) for h, n in _subtrees(root) if h ^ salt in template} if template else set()
     out: list[str] = []
     for r in roots:
         if id(r) not in dropped:
@@ -256,44 +258,66 @@ def _host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
 
 
-def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``page_id, url, text, n_chars, n_template`` for every row of ``pages(page_id, url, html)``.
 
     Null and empty html give an empty text; a null url has the empty host.  Repeated
     rows give repeated results.  Other columns are ignored; an empty table gives an
     empty result.  Text is never cut.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumn("host", _host(F.col("url")))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = rows.withColumn("salt", F.xxhash64(_host(F.col("url"))))
 
     def hash_rows(batches):
         for batch in batches:
-            hosts, body, hashes = [], [], []
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            body, keys = [], []
+            for salt, page in zip(batch.column("salt").to_pylist(), batch.column("html").to_pylist()):
                 got, content = candidates(page)
                 if got:
-                    hosts.append(host)
-                    hashes.append(got)
-                    body.append(int.from_bytes(hashlib.blake2b(np.array(content, "<i8").tobytes(), digest_size=8).digest(), "little", signed=True))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(body, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "body", "hashes"])
-
-    # pages of equal content count once; both counts combine before they are shuffled
-    trees = rows.select("host", "html").mapInArrow(hash_rows, "host string, body long, hashes array<long>").groupBy("host", "body").agg(F.min("hashes").alias("hashes"))
-    sizes = trees.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
-    recurring = counts.where(F.col("on") >= min_pages).join(sizes, "host").where(F.col("on") >= min_share * F.col("pages")).select("host", "hash")
-    # a host's recurring subtrees are at most (subtrees of a page) / min_share: a bounded list
-    template = C.cut(recurring.groupBy("host").agg(F.collect_list("hash").alias("template")))
-    size = template.agg(F.coalesce(F.sum(F.size("template") + 8), F.lit(0)).alias("n")).first()["n"]
-    # up to MAX_BROADCAST hashes travel to every executor, and no page moves; beyond, both
-    # sides are shuffled by host and adaptive execution splits the hosts with many pages
-    template = F.broadcast(template) if size <= MAX_BROADCAST else template
-
-    def texts(batches):
+                    keys.append([h ^ salt for h in got])
+                    body.append(int.from_bytes(hashlib.blake2b(np.array([salt, *content], "<i8").tobytes(), digest_size=8).digest(), "little", signed=True))
+            yield pa.RecordBatch.from_arrays([pa.array(body, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["body", "keys"])
+
+    # keys are hashes of a subtree with its host; pages of equal content count once, and
+    # both counts combine before they are shuffled
+    trees = rows.select("salt", "html").mapInArrow(hash_rows, "body long, keys array<long>").groupBy("body").agg(F.min("keys").alias("keys"))
+    counts = trees.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("on"))
+    recurring = C.cut(counts.where(F.col("on") >= min_pages).select("key"))
+    if recurring.count() <= max_broadcast:
+        # templates travel to every executor, and no page moves
+        every = pages.sparkSession.sparkContext.broadcast(recurring.toArrow().column("key").to_numpy())
+
+        def texts(batches):
+            template = set(every.value.tolist())
+            for batch in batches:
+                yield from _texts(pa.Table.from_batches([batch]), template).to_batches()
+
+        return rows.mapInArrow(texts, SCHEMA)
+
+    # a cell asks once for each of its keys, so a template on all pages of a large host
+    # costs an entry per cell
+    n_cells = C.parts(C.column_bytes(rows, "html"), CELL_BYTES)
+    dealt = rows.withColumn("cell", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(n_cells)).cast("int"))
+
+    def ask(batches):
         for batch in batches:
-            got = [extract(p, set(t or ())) for p, t in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array([t for t, _ in got], pa.string()), pa.array([len(t) for t, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())],
-                names=["page_id", "url", "text", "n_chars", "n_template"],
-            )
+            cells, keys = [], []
+            for cell, salt, page in zip(*(batch.column(c).to_pylist() for c in ("cell", "salt", "html"))):
+                got = candidates(page)[0]
+                cells += [cell] * len(got)
+                keys += [h ^ salt for h in got]
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(keys, pa.int64())], names=["cell", "key"])
 
-    return rows.join(template, "host", "left").select("page_id", "url", "html", "template").mapInArrow(texts, SCHEMA)
+    asked = dealt.select("cell", "salt", "html").mapInArrow(ask, "cell int, key long").distinct().join(recurring, "key").select("cell", "key")
+
+    def finish(key, table, back):
+        return _texts(table, set(back.column("key").to_pylist()))
+
+    return dealt.groupBy("cell").cogroup(asked.groupBy("cell")).applyInArrow(finish, SCHEMA)
+
+
+def _texts(table: pa.Table, template: set[int]) -> pa.Table:
+    got = [extract(p, template, s) for p, s in zip(table.column("html").to_pylist(), table.column("salt").to_pylist())]
+    return pa.table(
+        {"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array([t for t, _ in got], pa.string()), "n_chars": pa.array([len(t) for t, _ in got], pa.int64()), "n_template": pa.array([n for _, n in got], pa.int64())}
+    )

@@ -478,6 +478,18 @@ def test_op1_copies_are_not_template(spark):
     assert {r["text"] for r in got} == {"Every page has this line News same Body & text same"}
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_op1_does_not_depend_on_the_size_of_the_host(spark, most):
+    """A section's line on 5 of 205 pages goes, with broadcast templates and with joined ones."""
+    words = [f"{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijk"]
+    page = "<div><p>Text {0}</p>{1}</div>"
+    rows = [(i, "https://d.example/x", page.format(words[i], "<p>Section line</p>" if i < 5 else "")) for i in range(205)]
+    rows += [(900 + i, "https://e.example/x", page.format(words[i], "<p>Section line</p>")) for i in range(3)] + [(950, None, None)]
+    got = {r["page_id"]: r["text"] for r in site_templates.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), max_broadcast=most).collect()}
+    assert all(got[i] == f"Text {words[i]}" for i in range(205)) and len(got) == 209
+    assert all(got[900 + i] == f"Text {words[i]} Section line" for i in range(3)) and got[950] == ""
+
+
 def test_op1_removes_what_recurs_inside_declared_content(spark):
     page = '<nav>n</nav><{1}><h1>News {0}</h1><div><p>Read our other stories</p></div><p>Body {0}</p><div class="ad">{2}</div></{1}><p>Tail {2}</p>'
     words = vocabulary(6)
