@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def edges(manifest: DataFrame, url: str = "url", links: str = "outlinks") -> DataFrame:
     return manifest.select(F.col(url).alias("source_url"), F.posexplode(links).alias("link_ord", "target_url"))
@@ -14,29 +16,56 @@ def inbound(edge_rows: DataFrame) -> DataFrame:
     return edge_rows.groupBy("target_url").agg(F.count("*").alias("n_inbound"))
 
 
-def bfs(seeds: DataFrame, edge_rows: DataFrame, max_depth: int) -> DataFrame:
-    """``url, depth, parent``: each page once, at its first depth, by its first discoverer.
+def bfs(seeds: DataFrame, edge_rows: DataFrame, max_depth: int, max_pages: int | None = None, leaves: DataFrame | None = None) -> DataFrame:
+    """``url, depth, parent, place``: each page once, at its first depth, by its first discoverer.
 
-    ``seeds(url, ord)``, ``edge_rows(source_url, link_ord, target_url)``.  One join and one
-    anti-join a level; visited rows are checkpointed, so lineage stays short.
+    ``seeds(url, ord)``, ``edge_rows(source_url, link_ord, target_url)``.  ``leaves(url)``
+    are pages whose links are not followed (attachments, soft not-found pages).  ``place``
+    is the order of discovery from 0; with ``max_pages`` only the first so many are kept.
+    A page's parent is its discoverer that comes first, by place and then by link.  One
+    join and one anti-join a level; only the new level is written, so a round's cost is
+    that of its frontier and of the keys already seen.
     """
-    spark = seeds.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestone-bfs-"))
-    visited = seeds.groupBy("url").agg(F.min("ord").cast("long").alias("ord")).select("url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent"), "ord").checkpoint()
-    level = visited
+    first = seeds.groupBy("url").agg(F.struct(F.min("ord").cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("via")).withColumn("parent", F.lit(None).cast("string"))
+    level, n = _numbered(first, 0, 0)
+    levels = [level]
     for depth in range(1, max_depth + 1):
-        found = level.join(edge_rows, level.url == edge_rows.source_url).select(F.col("target_url").alias("url"), F.struct(F.col("ord"), F.col("link_ord")).alias("via"), F.col("source_url").alias("parent"))
-        new = found.groupBy("url").agg(F.min_by("parent", "via").alias("parent"), F.min("via").alias("via")).join(visited.select("url"), "url", "left_anti")
-        # the visiting order within a level: by the parent's place, then the link's
-        ranked = new.withColumn("ord", F.col("via.ord") * 1_000_000 + F.col("via.link_ord"))
-        level = ranked.select("url", F.lit(depth).alias("depth"), "parent", "ord").checkpoint()
-        if level.isEmpty():
+        if max_pages is not None and n >= max_pages:
             break
-        visited = visited.union(level).checkpoint()
-    return visited.select("url", "depth", "parent")
+        open_pages = level if leaves is None else level.join(leaves.select("url"), "url", "left_anti")
+        found = open_pages.select(F.col("url").alias("source_url"), "place").join(edge_rows, "source_url")
+        found = found.select(F.col("target_url").alias("url"), F.struct(F.col("place").alias("a"), F.col("link_ord").cast("long").alias("b")).alias("via"), F.col("source_url").alias("parent"))
+        new = found.groupBy("url").agg(F.min_by("parent", "via").alias("parent"), F.min("via").alias("via"))
+        for seen in levels:
+            new = new.join(seen.select("url"), "url", "left_anti")
+        level, grown = _numbered(new, depth, n)
+        if grown == n:
+            break
+        levels.append(level)
+        n = grown
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.union(level)
+    return out if max_pages is None else out.where(F.col("place") < max_pages)
+
+
+def _numbered(rows: DataFrame, depth: int, start: int) -> tuple[DataFrame, int]:
+    """``url, depth, parent, place`` of one level, written, with dense places from ``start``; and the next place.
+
+    Rows are range-partitioned by their order of discovery and numbered within each
+    partition; only the partitions' sizes meet on the driver.
+    """
+    sorted_rows = cut(rows.repartitionByRange("via").sortWithinPartitions("via", "url").select("url", "parent", "via", F.spark_partition_id().alias("part")))
+    sizes = sorted(sorted_rows.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row a partition
+    before, total = {}, start
+    for r in sizes:
+        before[r["part"]] = total
+        total += r["n"]
+    if not before:
+        return sorted_rows.select("url", F.lit(depth).alias("depth"), "parent", F.lit(0).cast("long").alias("place")), start
+    base = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("part")).cast("long")
+    place = base + F.row_number().over(Window.partitionBy("part").orderBy("via", "url")) - 1
+    return sorted_rows.select("url", F.lit(depth).alias("depth"), "parent", place.cast("long").alias("place")), total
 
 
 def blocked_runs(fetches: DataFrame, part: str, order: list[str], blocked: str) -> DataFrame:

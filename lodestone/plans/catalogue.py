@@ -232,13 +232,24 @@ def freshness(spark, sf_dir):
 
 
 def bfs_levels(spark, sf_dir):
+    """Depths in a graph of two arithmetic links a page, which is deep where the pages' own links are not."""
     pages = _read(spark, sf_dir, "pages").select("page_id")
-    n = pages.count()
+    n = pages.agg(F.count("*").alias("n")).scalar()
     links = pages.select(F.col("page_id").cast("string").alias("source_url"), F.posexplode(F.array((F.col("page_id") * 7 + 3) % n, (F.col("page_id") * 3 + 1) % n)).alias("link_ord", "t")).select("source_url", "link_ord", F.col("t").cast("string").alias("target_url"))
     seeds = pages.where("page_id = 0").select(F.col("page_id").cast("string").alias("url"), F.lit(0).alias("ord"))
     return graph.bfs(seeds, links, 6).select("url", F.col("depth").cast("long").alias("depth"))
 
 
+def crawl_levels(spark, sf_dir):
+    """Depths in the pages' own link graph, from each host's page of the smallest id; attachments are not followed."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", U.canon_url(F.col("url")).alias("source_url"), html.native_links(F.col("html"), F.col("url")).alias("links"))
+    first = corpus.first_seen(pages, "source_url", ["page_id"])
+    links = first.select("source_url", F.posexplode("links").alias("link_ord", "target_url"))
+    seeds = first.groupBy(U.host_of(F.col("source_url")).alias("host")).agg(F.min_by("source_url", "page_id").alias("url"), F.min("page_id").alias("ord")).select("url", "ord")
+    leaves = links.select(F.col("target_url").alias("url")).where(U.is_attachment(F.col("url"))).distinct()
+    return graph.bfs(seeds, links, 6, leaves=leaves).select("url", F.col("depth").cast("long").alias("depth"))
+
+
 def set_coverage(spark, sf_dir):
     return corpus.coverage(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), "doc_id")
 
@@ -285,7 +296,7 @@ def verify_gate(spark, sf_dir):
 QUERIES = [
     bm25_topk, term_stats, corpus_stats, url_canonical, url_scope_attach, url_section_path, url_dedup_first, lang_script, content_dedup, thin_documents, hash_embed, dense_topk, rrf_hybrid, confidence_status,
     page_labels, query_intents, response_class, fingerprint_clusters, page_links, inbound_top, parse_pages, chunk_windows, greedy_chunks, page_estimate, cache_hits, dup_clusters, existence_check, fts_and, health_check,
-    staleness, label_overview, audit_counts, block_runs, crawl_until_blocked, freshness, bfs_levels, set_coverage, upsert, diverse_topk, hybrid_retrieve, verify_gate,
+    staleness, label_overview, audit_counts, block_runs, crawl_until_blocked, freshness, bfs_levels, crawl_levels, set_coverage, upsert, diverse_topk, hybrid_retrieve, verify_gate,
 ]
 
 

@@ -145,6 +145,10 @@ def sql() -> dict[str, str]:
         "crawl_until_blocked": f"with {_RUNS}, stops as (select user_id, min(first_n + 1) stop from runs where length >= 2 group by 1) select user_id, event_id from f left join stops using (user_id) where stop is null or n <= stop",
         "freshness": "select date_diff('day', min(ts)::date, date '2024-03-01') age_days, date_diff('day', min(ts)::date, date '2024-03-01') > 30 stale from events",
         "bfs_levels": "with recursive m as (select count(*) n from pages), r as (select 0::bigint u, 0::bigint depth union select (case t when 0 then u * 7 + 3 else u * 3 + 1 end) % (select n from m), depth + 1 from r, range(2) x(t) where depth < 6) select min(u)::varchar url, min(depth) depth from r group by u",
+        "crawl_levels": f"""with recursive {_CANON}, {_LINKS}, p as (select page_id, canon, regexp_extract(canon, '^[a-z]+://([^/?#:]*)', 1) host, row_number() over (partition by canon order by page_id) k from canon),
+          e as (select canon src, link from p join lk using (page_id) where k = 1), s as (select arg_min(canon, page_id) url from p where k = 1 group by host),
+          r as (select url, 0::bigint depth from s union select link, depth + 1 from r join e on src = url where depth < 6)
+          select url, min(depth) depth from r group by url""",
         "set_coverage": "with a as (select distinct doc_id from documents), b as (select distinct doc_id from labels) select (select count(*) from a) linked, (select count(*) from b) held, (select count(*) from a join b using (doc_id)) matched, (select count(*) from a anti join b using (doc_id)) missing, (select count(*) from b anti join a using (doc_id)) extra",
         "upsert": "select o_orderkey, o_custkey, round(case when o_orderkey % 10 = 0 then o_totalprice + 1 else o_totalprice end, 2) o_totalprice from orders union all select -o_orderkey - 1, null, round(o_totalprice, 2) from orders where o_orderkey % 50 = 0",
         "verify_gate": f"""with sc as ({_SCRIPT}), d as (select doc_id, text, left(sha256(text), 16) h, len({_words('text')}) n, left(coalesce(text, ''), 40) title from documents),
