@@ -14,7 +14,6 @@ carry therefore costs one entry per cell, never one per document.
 from __future__ import annotations
 
 import gc
-import tempfile
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, ensure_checkpoint_dir  # noqa: F401
+
 #: Text bytes that a cell holds on average, and that share one key bucket.
 CELL_BYTES = 6 << 20
 BUCKET_BYTES = 24 << 20
@@ -38,19 +39,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; make one only where none is set (tests)."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(path or tempfile.mkdtemp(prefix="lodestone-ckpt-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of plans that a checkpoint has cut off.
 
@@ -125,11 +113,12 @@ def received(table: pa.Table) -> np.ndarray:
 
 
 def split_by_bucket(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
-    """Cut sorted keys into ``n`` equal ranges of the 64-bit space."""
-    step = (1 << 64) // n + 1
-    edges = np.array([step * i for i in range(1, n)], dtype=U64)
-    cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
-    return [(i, keys[cuts[i] : cuts[i + 1]]) for i in range(n) if cuts[i + 1] > cuts[i]]
+    """Sorted keys by bucket, of ``n`` equal ranges of the 64-bit space; work follows the keys, not ``n``."""
+    if not len(keys):
+        return []
+    bucket = bucket_of(keys, n)
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return list(zip(bucket[cuts].tolist(), np.split(keys, cuts[1:])))
 
 
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:

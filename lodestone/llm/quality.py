@@ -173,5 +173,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept."""
+    """The rows of ``docs``, all columns, that are kept.
+
+    Null, empty and short texts fail the base rules and go; rows with null ids, repeated
+    rows and very long texts are judged like others; an empty table gives an empty result.
+    """
     return judged(docs, id_col, text_col).where("kept").select("row.*")

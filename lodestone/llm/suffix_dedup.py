@@ -302,10 +302,18 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
 
 
 def dedup_texts(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the text that stays; characters that a cut broke are left out."""
-    others = tuple(c for c in docs.columns if c not in (id_col, text_col, "cell"))
-    left = remove_earlier(docs, length, id_col=id_col, text_col=text_col, carry=others, whole=True)
-    return left.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("doc_id").alias(c) if c == id_col else F.col(c) for c in docs.columns if c != "cell"])
+    """``docs`` with the text that stays; characters that a cut broke are left out.
+
+    All columns pass through under their names, whatever they are.  Null texts become
+    empty, rows with a null id count as the earliest, and of equal rows the first keeps
+    its text.  An empty table gives an empty result.
+    """
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    carried = {c: f"_carried_{k}" for k, c in enumerate(others)}  # the operator's own columns clash with none of these
+    renamed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in carried.items()])
+    left = remove_earlier(renamed, length, carry=tuple(carried.values()), whole=True)
+    back = {id_col: "doc_id", text_col: "kept_text", **carried}
+    return left.select(*[F.col(back[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def _whole_characters(buf: np.ndarray, gone: np.ndarray) -> np.ndarray:

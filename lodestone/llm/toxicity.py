@@ -3,7 +3,8 @@
 Features of a text are the distinct hashed word unigrams (whole, and their first four
 and five bytes, which inflected forms share), bigrams and skip-grams (two words with one
 or two words between) it contains, A-Z lower-cased, punctuation at word edges ignored.
-Training visits a bounded sample of labelled rows, those with the smallest hash of id.  FTRL-proximal keeps a learning rate per coordinate and an L1
+Training visits a bounded sample of labelled rows, those with the smallest hash of id,
+and of each the ``TRAIN_FEATURES`` buckets with the smallest hash.  FTRL-proximal keeps a learning rate per coordinate and an L1
 threshold, so all but a few thousand weights are exactly zero and the model is a short
 list of (bucket, weight) that travels with the scoring task.
 """
@@ -23,6 +24,9 @@ from . import common as C
 BITS = 20
 #: Labelled rows used for training, at most.
 TRAIN_ROWS = 6_000
+#: Distinct buckets of one labelled row that are learned from, at most: with TRAIN_ROWS this
+#: bounds what the driver holds, whatever the length of the texts.
+TRAIN_FEATURES = 20_000
 #: Word beginnings, in bytes, that stand for a word's inflected forms.
 STEMS = (4, 5)
 
@@ -118,10 +122,13 @@ def train(docs: DataFrame, labels: DataFrame, passes: int = 3, rows: int = TRAIN
     sample = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic")
         .limit(rows)
     )
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    # a repeated id brings one text, so rows stay bounded
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    sample = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def features(batches):
         for batch in batches:
@@ -131,6 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, passes: int = 3, rows: int = TRAIN
             for i, j, b, o in C.batches(buf, offs):
                 doc, slot = feature_pairs(b, o)
                 for d, part in enumerate(np.split(slot.astype(np.int32), np.searchsorted(doc, np.arange(1, j - i)))):
+                    if len(part) > TRAIN_FEATURES:
+                        part = part[np.argsort(C.mix(part.astype(np.uint64)), kind="stable")[:TRAIN_FEATURES]]
                     got[i + d] = part
             yield pa.RecordBatch.from_arrays([table.column("doc_id").combine_chunks(), table.column("toxic").combine_chunks(), pa.array([g.tobytes() for g in got], pa.binary())], names=["doc_id", "toxic", "slots"])
 
@@ -178,8 +187,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is under the threshold."""
-    mark = "__toxicity"
+    """The rows of ``docs``, all columns, whose score is under the threshold.
+
+    Null and empty texts have the bias alone, rows with null ids are scored like others
+    and never learned from, repeated rows are decided alike; an empty table gives an
+    empty result.
+    """
+    mark = "_toxicity"
+    while mark in docs.columns:
+        mark = "_" + mark
     return score_rows(docs, fit(docs, labels), mark).where(F.col(mark) < threshold).drop(mark)
 
 
@@ -195,6 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every document."""
+    """``doc_id, held_out, score, predicted`` for every row.
+
+    Null and empty texts get the score of the bias alone.  Rows with a null id are scored
+    and never held out; repeated rows get equal scores.  Very long texts are taken in
+    batches of whole documents.  Labels of unknown ids and null labels teach nothing;
+    without any label every score is 0.5.  Other columns are ignored; an empty table
+    gives an empty result.
+    """
     scored = score(docs, fit(docs, labels))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
