@@ -48,6 +48,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def column_bytes(df: DataFrame, col: str) -> int:
     """Total UTF-8 bytes of a text column: one cheap aggregate, no text moves."""
     got = df.agg(F.sum(F.octet_length(F.col(col).cast("string"))).alias("b")).first()

@@ -190,13 +190,14 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
     """The rows of ``docs``, all columns, whose score is under the threshold.
 
     Null and empty texts have the bias alone, rows with null ids are scored like others
-    and never learned from, repeated rows are decided alike; an empty table gives an
-    empty result.
+    and never learned from, repeated rows are decided alike; without any label all rows
+    are kept; an empty table gives an empty result.
     """
-    mark = "_toxicity"
-    while mark in docs.columns:
-        mark = "_" + mark
-    return score_rows(docs, fit(docs, labels), mark).where(F.col(mark) < threshold).drop(mark)
+    model = fit(docs, labels)
+    if not model.bias and not len(model.index):
+        return docs
+    mark = C.unused("_toxicity", docs.columns)
+    return score_rows(docs, model, mark).where(F.col(mark) < threshold).drop(mark)
 
 
 def held_out(id_col: str = "doc_id"):
