@@ -251,13 +251,39 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+#: Bytes whose powers are held at a time.
+HASH_BYTES = 1 << 19
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end) of one buffer."""
-    n = len(buf)
-    prefix = np.zeros(n + 1, U64)
-    np.cumsum(_BYTE[buf] * powers(_BASE, n), out=prefix[1:], dtype=U64)
-    raw = (prefix[ends] - prefix[starts]) * powers(_BASE_INV, n + 1)[starts]
-    return mix(raw + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """64-bit hashes of the byte spans [start, end) of one buffer, ``starts`` ascending.
+
+    Memory follows HASH_BYTES and the number of spans, not the length of the buffer.
+    """
+    raw = np.empty(len(starts), U64)
+    sizes = ends - starts
+    for k in np.flatnonzero(sizes > HASH_BYTES).tolist():
+        raw[k] = _long_raw(buf, int(starts[k]), int(ends[k]))
+    short = np.flatnonzero(sizes <= HASH_BYTES)
+    s, e = starts[short], ends[short]
+    i = 0
+    while i < len(s):
+        j = int(np.searchsorted(s, s[i] + HASH_BYTES, "left"))
+        lo, hi = int(s[i]), int(e[i:j].max())
+        prefix = np.zeros(hi - lo + 1, U64)
+        np.cumsum(_BYTE[buf[lo:hi]] * powers(_BASE, hi - lo), out=prefix[1:], dtype=U64)
+        raw[short[i:j]] = (prefix[e[i:j] - lo] - prefix[s[i:j] - lo]) * powers(_BASE_INV, hi - lo + 1)[s[i:j] - lo]
+        i = j
+    return mix(raw + sizes.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+def _long_raw(buf: np.ndarray, lo: int, hi: int) -> np.uint64:
+    """The polynomial of one long span, piece by piece."""
+    total = 0
+    for at in range(lo, hi, HASH_BYTES):
+        piece = buf[at : min(at + HASH_BYTES, hi)]
+        total += int((_BYTE[piece] * powers(_BASE, len(piece))).sum(dtype=U64)) * pow(_BASE, at - lo, 1 << 64)
+    return U64(total % (1 << 64))
 
 
 _STEP = [U64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F)]

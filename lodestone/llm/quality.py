@@ -178,4 +178,6 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Null, empty and short texts fail the base rules and go; rows with null ids, repeated
     rows and very long texts are judged like others; an empty table gives an empty result.
     """
-    return judged(docs, id_col, text_col).where("kept").select("row.*")
+    # a filter would be pushed below the projections and compute all of them again in its
+    # condition; unpacking an array of the row, or of none, is not
+    return judged(docs, id_col, text_col).select(F.inline(F.when(F.col("kept"), F.array("row"))))

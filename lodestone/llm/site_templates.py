@@ -59,22 +59,36 @@ BAD_NAMES = re.compile(
     re.I,
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Inside declared content only whole names count, and fewer of them.
+BAD_IN_MAIN = re.compile(
+    r"(?:^|\s)(?:ads?|advert\w*|adbox|adslot|adsense|banner|sponsored|promo|nav|navbar|menu|breadcrumbs?|sidebar|cookie\w*|consent|newsletter|subscribe|comments?|disqus\w*|share|sharing|social|notice|popup|modal|overlay)(?:$|\s)",
+    re.I,
+)
+
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_REST = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
+#: Quotes are followed for so many characters of a tag; a longer tag ends at its first ">".
+MAX_QUOTED = 4096
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    """An element with child nodes and text runs in page order."""
+    """An element with child nodes and text runs in page order.
+
+    ``in_main``: it is, or lies in, declared content.  ``skipped``: it is never content,
+    or lies in what never is.  ``filled``: it holds text that is not skipped.
+    """
 
-    __slots__ = ("tag", "names", "role", "hidden", "children")
+    __slots__ = ("tag", "names", "role", "hidden", "children", "in_main", "skipped", "filled", "digest")
 
-    def __init__(self, tag: str, attrs: str = ""):
+    def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
         self.tag, self.children = tag, []
         self.names = self.role = ""
-        self.hidden = False
-        if attrs.strip():
+        self.hidden = self.filled = False
+        self.digest = b""
+        if attrs and not attrs.isspace():
             for name, a, b, c in _ATTR.findall(attrs):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
@@ -83,28 +97,64 @@ class Node:
                     self.role = value.strip().lower()
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
                     self.hidden = True
+        above = parent is not None and parent.in_main
+        self.in_main = above or tag in MAIN or self.role == "main"
+        self.skipped = parent is not None and (parent.skipped or never_content(self, above))
+
+
+def never_content(node: Node, in_main: bool) -> bool:
+    """Elements that hold no main text whatever the site."""
+    if node.tag in NEVER or node.hidden or node.role in ROLES:
+        return True
+    if node.tag == "header" and not in_main:
+        return True
+    if not node.names or node.tag in MAIN or node.tag in ("html", "body"):
+        return False
+    return (BAD_IN_MAIN if in_main else BAD_NAMES).search(node.names) is not None
 
 
-def parse(page: str) -> Node:
-    """A tree for any input: unknown ends are ignored, open elements end with their parent."""
+def parse(page: str) -> list[Node]:
+    """Elements in page order, the root first, for any input, in time linear in its length.
+
+    Unknown ends are ignored, open elements end with their parent, a tag that the page's
+    end cuts off is dropped.
+    """
     root = Node("#root")
-    stack, at, n = [root], 0, len(page)
-    open_tags = {"#root": 1}
-    pos = 0
+    nodes, stack, open_tags = [root], [root], {"#root": 1}
+    at = pos = 0
+    last = page.rfind(">")
     while True:
-        m = _TOKEN.search(page, pos)
+        m = _OPEN.search(page, pos)
         if m is None:
-            if at < n:
+            if at < len(page):
                 stack[-1].children.append(page[at:])
-            return root
+            return nodes
         if m.start() > at:
             stack[-1].children.append(page[at : m.start()])
-        at = pos = m.end()
-        tag = m.group(2)
-        if tag is None:
+        at = m.start()
+        comment, data, other, closing, tag = m.groups()
+        if comment or data:
+            end = page.find("-->" if comment else "]]>", m.end())
+            if end < 0:
+                return nodes
+            at = pos = end + 3
             continue
+        if m.end() > last + 1 or last < 0:
+            return nodes  # no tag ends from here on
+        if other:
+            end = page.find(">", m.end())
+            if end < 0:
+                return nodes
+            at = pos = end + 1
+            continue
+        rest = _REST.match(page, m.end(), m.end() + MAX_QUOTED)
+        end = rest.end() if rest else page.find(">", m.end()) + 1
+        if not end:
+            return nodes
+        attrs = page[m.end() : end - 1]
+        at = pos = end
         tag = tag.lower()
-        if m.group(1):
+        if closing:
             if open_tags.get(tag):
                 while True:
                     gone = stack.pop()
@@ -112,145 +162,143 @@ def parse(page: str) -> Node:
                     if gone.tag == tag:
                         break
             elif tag == "p":
-                stack[-1].children.append(Node("p"))
+                stack[-1].children.append(Node("p", "", stack[-1]))
+                nodes.append(stack[-1].children[-1])
             continue
         while len(stack) > 1 and tag in CLOSES.get(stack[-1].tag, ()):
             open_tags[stack.pop().tag] -= 1
         if tag not in INLINE and open_tags.get("p") and tag in CLOSES["p"]:
             # an open paragraph ends even inside inline elements
-            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == "p" or stack[k].tag not in INLINE)
+            k = len(stack) - 1
+            while stack[k].tag != "p" and stack[k].tag in INLINE:
+                k -= 1
             if stack[k].tag == "p":
                 for gone in stack[k:]:
                     open_tags[gone.tag] -= 1
                 del stack[k:]
-        node = Node(tag, m.group(3))
+        node = Node(tag, attrs, stack[-1])
         stack[-1].children.append(node)
+        nodes.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = _raw_end(page, at, tag)
             if end is None:
                 node.children.append(page[at:])
-                return root
-            node.children.append(page[at : end.start()])
-            at = pos = end.end()
-        elif tag not in VOID and not m.group(3).rstrip().endswith("/"):
+                return nodes
+            node.children.append(page[at : end[0]])
+            at = pos = end[1]
+        elif tag not in VOID and not attrs.rstrip().endswith("/"):
             stack.append(node)
             open_tags[tag] = open_tags.get(tag, 0) + 1
 
 
-def never_content(node: Node, in_main: bool) -> bool:
-    """Elements that hold no main text whatever the site."""
-    if node.tag in NEVER or node.hidden or node.role in ROLES:
-        return True
-    if node.tag == "header" and not in_main:
-        return True
-    return bool(node.names) and node.tag not in MAIN and node.tag not in ("html", "body") and BAD_NAMES.search(node.names) is not None
-
-
-def main_roots(root: Node) -> list[Node]:
-    """The outermost declared content elements outside of non-content, or the whole page."""
-    found: list[Node] = []
-    todo: list[Node] = [root]
-    while todo:
-        node = todo.pop()
-        if node.tag in MAIN or node.role == "main":
-            found.append(node)
-            continue
-        todo += [c for c in reversed(node.children) if isinstance(c, Node) and not never_content(c, False)]
-    return [f for f in found if has_text(f)] or [root]
-
-
-def has_text(node: Node) -> bool:
-    return any((c.strip() if isinstance(c, str) else has_text(c)) for c in node.children)
-
+def _raw_end(page: str, at: int, tag: str) -> tuple[int, int] | None:
+    end = _RAW_END[tag].search(page, at)
+    return end and end.span()
 
-def subtree_hashes(node: Node, out: list[tuple[int, Node]], in_main: bool) -> str:
-    """Depth-first text of a subtree without what is never content; appends (hash, element) for each block element."""
-    parts = [node.tag]
-    for c in node.children:
-        if isinstance(c, str):
-            t = _SPACE.sub(" ", c).strip()
-            if t:
-                parts.append(_DIGITS.sub("0", t))
-        elif not never_content(c, in_main):
-            parts.append(subtree_hashes(c, out, in_main or c.tag in MAIN or c.role == "main"))
-    text = "\x00".join(parts)
-    if node.tag not in INLINE and len(parts) > 1:
-        out.append((hash_text(text), node))
-    return text
 
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
-def hash_text(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
+def digest_subtrees(nodes: list[Node]) -> None:
+    """Set ``digest`` and ``filled`` of every element: a hash of its tag, texts and children's hashes.
 
-def blocks(node: Node, dropped: set[int], in_main: bool, out: list[str], run: list[str]) -> None:
-    """Append the texts of blocks in page order; ``run`` is the inline text so far."""
-    for c in node.children:
-        if isinstance(c, str):
-            run.append(c)
+    Children come after their parents in page order, so one backward pass is enough and
+    each text is hashed once, however deep it lies.
+    """
+    for node in reversed(nodes):
+        if node.skipped:
             continue
-        if id(c) in dropped or never_content(c, in_main):
+        parts = [node.tag.encode()]
+        for c in node.children:
+            if isinstance(c, str):
+                t = _SPACE.sub(" ", c).strip()
+                if t:
+                    node.filled = True
+                    parts.append(b"t" + _DIGITS.sub("0", t).encode("utf-8", "surrogatepass"))
+            elif not c.skipped:
+                node.filled = node.filled or c.filled
+                parts.append(b"e" + c.digest)
+        if len(parts) > 1 or node.tag not in INLINE:
+            node.digest = hashlib.blake2b(b"\0".join(parts), digest_size=8).digest()
+
+
+def hash_of(node: Node) -> int:
+    return int.from_bytes(node.digest, "little", signed=True)
+
+
+def subtrees(nodes: list[Node]) -> list[Node]:
+    """Block elements with content that may be a template."""
+    return [n for n in nodes if not n.skipped and n.tag not in INLINE and n.tag not in ("#root", "html", "body") and (n.filled or any(not isinstance(c, str) and not c.skipped for c in n.children))]
+
+
+def main_roots(nodes: list[Node]) -> list[Node]:
+    """The outermost declared content elements with text outside of non-content, or the whole page."""
+    found, inside = [], set()
+    for n in nodes:
+        within = id(n) in inside
+        if not within and n.in_main and not n.skipped:
+            if n.filled:
+                found.append(n)
+            within = True
+        if within:
+            inside.update(id(c) for c in n.children if not isinstance(c, str))
+    return found or [nodes[0]]
+
+
+def block_texts(start: Node, dropped: set[int]) -> list[str]:
+    """The texts of blocks in page order.
+
+    A character reference is decoded in its own run of text, so none arises by removing a
+    tag between its letters.
+    """
+    out: list[str] = []
+    run: list[str] = []
+
+    def flush() -> None:
+        if run:
+            text = _SPACE.sub(" ", "".join(run)).strip()
+            if text:
+                out.append(text)
+            run.clear()
+
+    stack = [(start, iter(start.children))]
+    while stack:
+        node, rest = stack[-1]
+        for c in rest:
+            if isinstance(c, str):
+                run.append(html_lib.unescape(c) if "&" in c else c)
+                continue
             if c.tag not in INLINE:
-                flush(out, run)
-            continue
-        if c.tag in INLINE:
-            blocks(c, dropped, in_main, out, run)
+                flush()
+            if not c.skipped and id(c) not in dropped:
+                stack.append((c, iter(c.children)))
+                break
         else:
-            flush(out, run)
-            blocks(c, dropped, in_main, out, run)
-            flush(out, run)
-
-
-def flush(out: list[str], run: list[str]) -> None:
-    if run:
-        text = _SPACE.sub(" ", html_lib.unescape("".join(run))).strip()
-        if text:
-            out.append(text)
-        run.clear()
+            stack.pop()
+            if node.tag not in INLINE:
+                flush()
+    flush()
+    return out
 
 
 def candidates(page: str) -> tuple[list[int], list[int]]:
     """Hashes of a page's block subtrees, and of those that make up its content (all, if it declares none)."""
-    root = parse(page)
-    roots = main_roots(root)
-    found = _subtrees(root)
-    everything = sorted({h for h, _ in found})
-    if roots == [root]:
-        return everything, everything
-    inside: list[tuple[int, Node]] = []
-    return everything, sorted({hash_text(subtree_hashes(r, inside, True)) for r in roots})
-
-
-def _subtrees(root: Node) -> list[tuple[int, Node]]:
-    out: list[tuple[int, Node]] = []
-    for c in root.children:
-        if isinstance(c, Node):
-            _outside(c, out)
-    return out
-
-
-def _outside(node: Node, out: list[tuple[int, Node]]) -> None:
-    if never_content(node, False):
-        return
-    if node.tag in ("html", "body"):
-        for c in node.children:
-            if isinstance(c, Node):
-                _outside(c, out)
-    else:
-        subtree_hashes(node, out, node.tag in MAIN or node.role == "main")
+    nodes = parse(page)
+    digest_subtrees(nodes)
+    everything = sorted({hash_of(n) for n in subtrees(nodes)})
+    roots = main_roots(nodes)
+    return everything, everything if roots[0] is nodes[0] else sorted({hash_of(r) for r in roots})
 
 
 def extract(page: str, template: set[int], salt: int = 0) -> tuple[str, int]:
     """Main text of a page and the number of template subtrees deleted (``template``: hashes ^ ``salt``)."""
-    root = parse(page)
-    roots = main_roots(root)
-    dropped = {id(n) for h, n in _subtrees(root) if h ^ salt in template} if template else set()
+    nodes = parse(page)
+    digest_subtrees(nodes)
+    dropped = {id(n) for n in subtrees(nodes) if hash_of(n) ^ salt in template} if template else set()
     out: list[str] = []
-    for r in roots:
+    for r in main_roots(nodes):
         if id(r) not in dropped:
-            run: list[str] = []
-            blocks(r, dropped, roots != [root], out, run)
-            flush(out, run)
+            out += block_texts(r, dropped)
     return " ".join(out), len(dropped)
 
 
@@ -262,8 +310,9 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast: int
     """``page_id, url, text, n_chars, n_template`` for every row of ``pages(page_id, url, html)``.
 
     Null and empty html give an empty text; a null url has the empty host.  Repeated
-    rows give repeated results.  Other columns are ignored; an empty table gives an
-    empty result.  Text is never cut.
+    rows give repeated results and count once as pages.  Any depth of nesting and any
+    length are walked without recursion, in linear time.  Other columns are ignored; an
+    empty table gives an empty result.  Text is never cut.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("salt", F.xxhash64(_host(F.col("url"))))

@@ -132,12 +132,26 @@ def gram_hashes(buf: np.ndarray, gram: int) -> np.ndarray:
     return C.window_hashes(C._BYTE[buf], gram)
 
 
+#: Windows whose hashes are held at a time.
+HASH_WINDOWS = 1 << 19
+
+
 def extents(buf: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first and last window start of each run of windows with one anchor."""
+    """Anchor hash, first and last window start of each run of windows with one anchor.
+
+    Long buffers are taken in stretches of windows; a run that two of them share is two
+    extents, which changes no window's anchor.
+    """
     ok = C.inside(offs, len(buf), length)
-    if not ok.any():
+    parts = [_stretch(buf[a : a + HASH_WINDOWS + length - 1], ok[a : a + HASH_WINDOWS], a, length, gram) for a in range(0, len(ok), HASH_WINDOWS)]
+    if not parts:
         z = np.empty(0, np.int64)
         return np.empty(0, C.U64), z, z
+    anchor, first, last = (np.concatenate(x) for x in zip(*parts))
+    return anchor, first, last
+
+
+def _stretch(buf: np.ndarray, ok: np.ndarray, base: int, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = gram_hashes(buf, gram)
     pick = C.sliding_argmin(h, length - gram + 1)
     new = np.ones(len(pick), bool)
@@ -147,7 +161,7 @@ def extents(buf: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[
     stop[:-1] = new[1:] | ~ok[1:]
     last = np.flatnonzero(stop & ok)
     # smallest hashes are small numbers: mix again, as keys are dealt to buckets by size
-    return C.mix(h[pick[first]] ^ C._STEP[0]), first, last
+    return C.mix(h[pick[first]] ^ C._STEP[0]), first + base, last + base
 
 
 def _sorted_cell(table: pa.Table) -> tuple[pa.Table, np.ndarray]:

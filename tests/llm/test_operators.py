@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -74,6 +75,31 @@ def test_window_hashes_depend_on_their_window_only(length):
     assert len(set(h[:40].tolist())) == 40
 
 
+def test_span_hashes_do_not_depend_on_place_or_stretch(monkeypatch):
+    rng = np.random.default_rng(3)
+    buf = rng.integers(97, 100, 5000).astype(np.uint8)
+    starts = np.sort(rng.integers(0, 4990, 300))
+    ends = np.minimum(starts + rng.integers(0, 2500, 300) // rng.integers(1, 400, 300), 5000)
+    want = C.span_hashes(buf, starts, ends)
+    monkeypatch.setattr(C, "HASH_BYTES", 64)
+    assert np.array_equal(C.span_hashes(buf, starts, ends), want)
+    assert np.array_equal(C.span_hashes(np.concatenate((buf[:7], buf)), starts + 7, ends + 7), want)
+    seen = collections.defaultdict(set)
+    for s, e, h in zip(starts.tolist(), ends.tolist(), want.tolist()):
+        seen[buf[s:e].tobytes()].add(h)
+    assert all(len(x) == 1 for x in seen.values()) and len(set(want.tolist())) == len(seen)
+
+
+def test_op10_long_texts_in_stretches(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    buf = rng.integers(97, 99, 3000).astype(np.uint8)
+    offs = np.array([0, 700, 720, 3000])
+    windows = lambda: {(int(w), int(a)) for a, lo, hi in zip(*suffix_dedup.extents(buf, offs, 100, 20)) for w in range(lo, hi + 1)}
+    want = windows()
+    monkeypatch.setattr(suffix_dedup, "HASH_WINDOWS", 333)
+    assert windows() == want and len(want) == 601 + 0 + 2181
+
+
 def test_words_are_split_at_document_ends():
     buf, offs = C.text_buffer(pa.chunked_array([pa.array(["ab", "c d", None, "e"])]))
     s, e, first = C.word_spans(buf, offs)
@@ -509,12 +535,34 @@ def test_op1_removes_what_recurs_inside_declared_content(spark):
         ("text &lt;b&gt; &#233;<script>var a='<p>no</p>'</script>", "text <b> é"),
         ("<div hidden>x</div><div role=navigation>y</div><form>z</form>ok", "ok"),
         ("<!-- <p>no</p> -->yes<style>p{}</style>", "yes"),
+        ("&<b>amp;</b> x", "&amp; x"),
+        ('<article><p class="notice-text">a</p><div class="related-work">b</div><div class="ad x">c</div></article>', "a b"),
+        ("<p title='a > b'>c</p><a href=\"x>d</a> e", "c d e"),
+        ("1 < 2 <3 <p>x", "1 < 2 <3 x"),
+        ("a <b", "a"),
+        ("<article><nav>n</nav></article><p>b</p>", "b"),
     ],
 )
 def test_op1_extract(page, text):
     assert site_templates.extract(page, set())[0] == text
 
 
+@pytest.mark.parametrize("page, chars", [("<div>" * 20_000 + "x", 1), ("<b>" * 20_000 + "x", 1), ("<a " * 100_000, 0), ("<a '\">" * 50_000, None), ("<p>y " * 30_000, 59_999), ("<![CDATA[" * 30_000, 0)])
+def test_op1_deep_and_broken_pages_take_linear_time(page, chars):
+    start = time.time()
+    text = site_templates.extract(page, set())[0]
+    site_templates.candidates(page)
+    assert time.time() - start < 20 and (chars is None or len(text) == chars)
+
+
+def test_op1_empty_table_and_clashing_columns(spark):
+    schema = "page_id long, url string, html string, text string, n_chars long, salt int, key long, body string, cell int"
+    assert site_templates.main_texts(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "https://f.example/", "<p>a</p>", "t", 9, 1, 2, "b", 3)] * 2 + [(None, None, "<p>b</p>", None, None, None, None, None, None)]
+    got = site_templates.main_texts(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["page_id"] or 0, r["text"]) for r in got) == [(0, "b"), (1, "a"), (1, "a")]
+
+
 CLASHING = "doc_id long, text string, lang string, source string, n_chars long, cell int, n_bytes long, kept_text string, place int, score double, row string, component_id long"
 
 
