@@ -2,10 +2,9 @@
 
 Documents become token ids (public BPE vocabulary plus an end id) and are routed to
 context tiers, powers of two up to the longest window.  Long documents fill whole windows
-of the top tier; what is left of each goes to the tier that holds it.  A tier's pieces
-are packed by size, largest first, and the room that is left in a window is filled from
-shorter tiers.  Sequences are the top windows; a window whose content ends exactly at a
-power of two is a full window of a lower tier and needs no padding.
+of the top tier; what is left of each goes to the tier that holds it.  Each tier is packed
+into windows of its own size, and the gaps of longer windows are filled from shorter
+tiers.  A full window of any tier ends at a power of two and needs no padding.
 
 Scale: documents are dealt to groups by a hash of their id.  Each group packs itself, so
 no group is larger than its share of the corpus and a packing never needs a global
@@ -15,14 +14,13 @@ with equal token counts.
 
 from __future__ import annotations
 
+import bisect
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
 from . import common as C
 from .bpe import CachedBPE, tokenizer_file
 
@@ -43,67 +41,58 @@ def tier_of(n: int, window: int, smallest: int = 128) -> int:
     return t
 
 
-def pack(sizes: list[int], window: int = 2048) -> list[list[tuple[int, int, int]]]:
+def pack(sizes: list[int], window: int = 2048, smallest: int = 128) -> list[list[tuple[int, int, int]]]:
     """Sequences of (document, start, length), each at most ``window`` tokens.
 
-    Whole windows of long documents first.  Then the tails, from the highest tier down
-    and largest first; each goes where it leaves the least room.  At last every window
-    but one is topped up by cutting pieces of the shortest tier to the room left.
+    Whole windows of long documents come first; what is left of each document waits in
+    its tier.  Then each tier is packed, the longest first: every piece of a tier opens a
+    window of that tier's size, largest first, and the gap behind it is filled from the
+    shorter tiers, always with the longest piece that fits.  If none fits, a piece of the
+    shortest tier is cut to the gap and its rest waits in the tier that holds it.  So all
+    windows are full but the last one that is opened.
     """
     done: list[list[tuple[int, int, int]]] = []
-    tails: list[tuple[int, int, int]] = []
+    waiting: dict[int, list[tuple[int, int, int]]] = {}  # tier: (length, -document, start), ascending
     for d, n in enumerate(sizes):
-        at = 0
-        while n - at >= window:
-            done.append([(d, at, window)])
-            at += window
+        at = n - n % window
+        done += [[(d, k, window)] for k in range(0, at, window)]
         if n > at:
-            tails.append((d, at, n - at))
-    tails.sort(key=lambda p: (-tier_of(p[2], window), -p[2], p[0]))
-    waiting = tails[::-1]  # the longest at the end
-    low = 0  # index of the shortest piece that still waits
-    while low < len(waiting):
-        seq, room = [waiting.pop()], window
-        room -= seq[0][2]
-        while room and low < len(waiting):
-            k = _largest_fitting(waiting, low, room)
-            if k is None:  # the shortest is too long: cut it to the room
-                d, at, n = waiting[low]
-                seq.append((d, at, room))
-                waiting[low] = (d, at + room, n - room)
-                room = 0
-                _resettle(waiting, low)
-            else:
-                piece = waiting.pop(k)
+            waiting.setdefault(tier_of(n - at, window, smallest), []).append((n - at, -d, at))
+    for pieces in waiting.values():
+        pieces.sort()
+    tier = tier_of(window, window, smallest)
+    while True:
+        pieces = waiting.get(tier, [])
+        while pieces:
+            n, d, at = pieces.pop()
+            seq, room = [(-d, at, n)], min(tier, window) - n
+            while room and (piece := _filler(waiting, tier, room, window, smallest)):
                 seq.append(piece)
                 room -= piece[2]
-        done.append(seq)
-    return done
-
-
-def _largest_fitting(waiting: list[tuple[int, int, int]], low: int, room: int) -> int | None:
-    """Position of the longest waiting piece of at most ``room`` tokens (ascending list)."""
-    lo, hi = low, len(waiting)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        if waiting[mid][2] <= room:
-            lo = mid + 1
-        else:
-            hi = mid
-    return lo - 1 if lo > low else None
-
-
-def _resettle(waiting: list[tuple[int, int, int]], at: int) -> None:
-    """Keep the list ascending after the piece at ``at``, the shortest, got shorter."""
-    piece = waiting.pop(at)
-    lo, hi = 0, at
-    while lo < hi:
-        mid = (lo + hi) // 2
-        if waiting[mid][2] < piece[2]:
-            lo = mid + 1
-        else:
-            hi = mid
-    waiting.insert(lo, piece)
+            done.append(seq)
+        if tier <= smallest:
+            return done
+        tier //= 2
+
+
+def _filler(waiting: dict[int, list[tuple[int, int, int]]], tier: int, room: int, window: int, smallest: int) -> tuple[int, int, int] | None:
+    """A piece of at most ``room`` tokens from ``tier`` or a shorter one, cut if no whole piece fits."""
+    t = min(tier, tier_of(room, window, smallest))
+    while t >= smallest:
+        pieces = waiting.get(t, [])
+        k = bisect.bisect_right(pieces, (room, 1))
+        if k:
+            n, d, at = pieces.pop(k - 1)
+            return -d, at, n
+        t //= 2
+    t = smallest
+    while t <= tier and not waiting.get(t):
+        t *= 2
+    if t > tier:
+        return None
+    n, d, at = waiting[t].pop()
+    bisect.insort(waiting.setdefault(tier_of(n - room, window, smallest), []), (n - room, d, at + room))
+    return -d, at, room
 
 
 def pack_documents(docs: DataFrame, window: int = 2048, tokenizer: str | None = None, step_tokens: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,10 +100,11 @@ def pack_documents(docs: DataFrame, window: int = 2048, tokenizer: str | None =
 
     Null and empty texts are one end id.  Every id lies in exactly one piece, a piece
     never exceeds a window, offsets within a sequence run gapless from 0.  ``tier`` is
-    the smallest power of two that holds the sequence, ``step_group`` the training step
-    it belongs to (about ``step_tokens`` tokens each, tier by tier).  Repeated rows are
-    packed as often as they occur.  Other columns are ignored; an empty table gives an
-    empty result.
+    the size of the sequence's window, ``step_group`` the training step it belongs to
+    (about ``step_tokens`` tokens each, tier by tier).  Ties are taken in order of id and
+    text.  Very long texts are tokenized whole and fill windows of their own.  Repeated
+    rows, and rows with null ids, are packed as often as they occur.  Other columns are
+    ignored; an empty table gives an empty result.
     """
     path = tokenizer or tokenizer_file("word_bpe_49k.json")
     groups = C.parts(C.column_bytes(docs, text_col), GROUP_BYTES)
@@ -171,7 +161,3 @@ def padding(pieces: DataFrame, window: int = 2048) -> DataFrame:
     full = F.when(F.col("used") == F.col("tier"), F.col("used")).otherwise(F.lit(window))
     return used.groupBy("tier").agg(F.count("*").alias("sequences"), F.sum("used").alias("tokens"), F.sum(full - F.col("used")).alias("padding"))
 
-
-def in_sequence_order(pieces: DataFrame) -> DataFrame:
-    """Pieces with their place in their sequence, for writers that stream sequences."""
-    return pieces.withColumn("place", F.row_number().over(Window.partitionBy("sequence_id").orderBy("offset")))
