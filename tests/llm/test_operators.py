@@ -351,19 +351,36 @@ def test_op2_pieces_cover_every_id(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
-def test_packer_leaves_little_room():
+def test_packer_packs_each_tier_and_fills_gaps_from_shorter_ones():
     rng = random.Random(3)
     sizes = [min(5000, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(3000)]
-    used = [sum(p[2] for p in s) for s in packing.pack(sizes)]
-    assert sum(used) == sum(sizes) and len(used) <= sum(sizes) // 2048 + 1
-    tiers = np.array([packing.tier_of(u, 2048) for u in used])
-    step = packing.balance(np.array(used), tiers, 1 << 16)
+    sequences = packing.pack(sizes)
+    used = [sum(p[2] for p in s) for s in sequences]
+    assert sum(used) == sum(sizes)
+    tiers = [packing.tier_of(u, 2048) for u in used]
+    assert sum(u != t for u, t in zip(used, tiers)) <= 1  # every window but the last is full
+    tail = lambda p: sizes[p[0]] - (sizes[p[0]] - 1) // 2048 * 2048
+    for seq, t in zip(sequences, tiers):
+        opener, fillers = seq[0], seq[1:]
+        assert opener[2] > t // 2 or t == 128  # a window is opened by a piece of its tier
+        assert all(packing.tier_of(p[2], 2048) < t or t == 128 or packing.tier_of(tail(p), 2048) <= t for p in fillers)
+    assert {t for t in tiers} >= {2048, 1024} and len(set(tiers)) >= 3
+    step = packing.balance(np.array(used), np.array(tiers), 1 << 16)
     load = np.bincount(step, weights=used)
-    for t in set(tiers.tolist()):  # steps of one tier are alike
-        mine = load[np.unique(step[tiers == t])]
+    for t in set(tiers):  # steps of one tier are alike
+        mine = load[np.unique(step[np.array(tiers) == t])]
         assert mine.max() - mine.min() <= 2048
 
 
+def test_packer_routes_to_tiers():
+    """One flat pass would put all of these into windows of 2048."""
+    sequences = packing.pack([300, 212, 128, 384, 500, 12, 2048 * 2 + 1000, 24])
+    used = [sum(p[2] for p in s) for s in sequences]
+    assert used == [2048, 2048, 1024, 512, 512, 512]
+    assert sequences[2] == [(6, 4096, 1000), (7, 0, 24)] and sequences[3] == [(4, 0, 500), (5, 0, 12)] and sequences[4] == [(3, 0, 384), (2, 0, 128)]
+    assert packing.pack([]) == [] and packing.pack([1]) == [[(0, 0, 1)]]
+
+
 def test_op6_base_counts(spark):
     df = frame(spark)
     got = {r["doc_id"]: r for r in attention_lm.score_documents(df).collect()}
@@ -484,7 +501,20 @@ def test_op8_cuts_follow_content():
 
 def test_op8_notices_a_wrong_chunk():
     with pytest.raises(ValueError):
-        media._measure(b"x" * 32, [b"RIFF"], 4)
+        media._measure(b"x" * 16, [b"RIFF"], b"x" * 32)
+
+
+def test_op8_store_holds_a_shared_passage_once(spark):
+    rng, words = random.Random(14), vocabulary(14)
+    passage = " ".join(rng.choice(words) for _ in range(8000))
+    df = frame(spark, [f"{' '.join(rng.choice(words) for _ in range(300))} {passage}" for _ in range(6)] + [passage, passage, None, ""])
+    media_bytes = sum(len(media.encode_wave(media.pad((r["text"] or "").encode()))) for r in df.collect())
+    stored = sum(len(media._decompressor(b"").decompress(bytes(r["body"]), max_output_size=1 << 20)) for r in media.chunk_store(df).collect())
+    assert stored < media_bytes * 0.35
+    lists = media.file_lists(df).collect()
+    assert len(lists) == 8  # equal files are one
+    got = media.media_columns(df).collect()
+    assert len(got) == 10 and len({r["media_sha256"] for r in got}) == 8 and max(r["n_chunks"] for r in got) > 5
 
 
 PAGE = '<html><body><header>Site</header><div class="top"><p>Every page has this line</p></div><div><h2>News {0}</h2><p>Body &amp; text {0}</p></div><div class="ad">Buy</div><div id="comments"><p>First!</p></div></body></html>'
