@@ -118,7 +118,7 @@ def sniff_kind(content_type: Column, head: Column) -> Column:
     pair = lambda kind, ext: F.struct(F.lit(kind).alias("kind"), F.lit(ext).alias("ext"))
     out = None
     for magic, kind, ext in rules.MAGIC:
-        out = (F if out is None else out).when(h.startswith(magic), pair(kind, ext))
+        out = (F if out is None else out).when(h.startswith(magic.hex().upper()), pair(kind, ext))
     for name, ext in rules.CONTENT_TYPES.items():
         kind = "pdf" if ext == ".pdf" else "image" if name.startswith("image/") else "other"
         out = out.when(ctype == name, pair(kind, ext))

@@ -93,7 +93,10 @@ CHALLENGES = {
 BLOCKING = ["cloudflare", "f5_asm_block", "bot_protection"]
 
 # --- fixed values: file signatures and content types ---
-MAGIC = [("255044462D", "pdf", ".pdf"), ("504B0304", "office_or_zip", ".zip"), ("D0CF11E0", "office_legacy", ".doc"), ("FFD8FF", "image", ".jpg"), ("89504E470D0A", "image", ".png"), ("49492A00", "image", ".tif"), ("4D4D002A", "image", ".tif"), ("7B5C727466", "rtf", ".rtf")]
+MAGIC = [
+    (b"%PDF-", "pdf", ".pdf"), (b"PK\x03\x04", "office_or_zip", ".zip"), (b"\xd0\xcf\x11\xe0", "office_legacy", ".doc"), (b"\xff\xd8\xff", "image", ".jpg"),
+    (b"\x89PNG\r\n", "image", ".png"), (b"II*\x00", "image", ".tif"), (b"MM\x00*", "image", ".tif"), (b"{\\rtf", "rtf", ".rtf"),
+]
 CONTENT_TYPES = {
     "application/pdf": ".pdf", "application/x-pdf": ".pdf", "application/vnd.ms-excel": ".xls",
     "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx", "application/msword": ".doc",

@@ -35,6 +35,38 @@ def canon_url(url: Column, case_sensitive: bool = False) -> Column:
     return F.concat(front, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments carried out."""
+    parts = F.split(path, "/")
+    dot = lambda x: x.isin(".", "..")
+
+    def step(done: Column, x: Column) -> Column:
+        # the first element stands for the leading slash and is never taken away
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(x == "..", up).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.concat(F.array_join(kept, "/"), F.when(dot(F.element_at(parts, -1)), "/").otherwise(""))
+
+
+def resolve(base: Column, href: Column) -> Column:
+    """The absolute address of a link on a page, as browsers find it, without its fragment."""
+    h = F.regexp_replace(F.trim(href), "#.*$", "")
+    part = lambda k: F.regexp_extract(base, _PARTS, k)
+    scheme, origin = F.concat(part(1), F.lit(":")), F.concat(part(1), F.lit("://"), part(2))
+    path, query = F.regexp_extract(h, r"^([^?]*)", 1), F.regexp_extract(h, r"(\?.*)$", 1)
+    folder = F.concat(F.regexp_extract(F.when(part(3) == "", F.lit("/")).otherwise(part(3)), "^(.*/)", 1))
+    own_query = F.when(base.rlike(r"^[^#]*\?"), F.concat(F.lit("?"), part(4))).otherwise("")
+    return (
+        F.when(h.rlike("^[a-zA-Z][a-zA-Z0-9+.\\-]*:"), h)
+        .when(h.startswith("//"), F.concat(scheme, h))
+        .when(h == "", F.concat(origin, part(3), own_query))
+        .when(h.startswith("?"), F.concat(origin, part(3), h))
+        .when(h.startswith("/"), F.concat(origin, _without_dots(path), query))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, path)), query))
+    )
+
+
 def url_key(canon: Column) -> Column:
     return F.sha1(canon)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from .ordering import number_rows
 
 
 def edges(manifest: DataFrame, url: str = "url", links: str = "outlinks") -> DataFrame:
@@ -50,22 +50,9 @@ def bfs(seeds: DataFrame, edge_rows: DataFrame, max_depth: int, max_pages: int |
 
 
 def _numbered(rows: DataFrame, depth: int, start: int) -> tuple[DataFrame, int]:
-    """``url, depth, parent, place`` of one level, written, with dense places from ``start``; and the next place.
-
-    Rows are range-partitioned by their order of discovery and numbered within each
-    partition; only the partitions' sizes meet on the driver.
-    """
-    sorted_rows = cut(rows.repartitionByRange("via").sortWithinPartitions("via", "url").select("url", "parent", "via", F.spark_partition_id().alias("part")))
-    sizes = sorted(sorted_rows.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row a partition
-    before, total = {}, start
-    for r in sizes:
-        before[r["part"]] = total
-        total += r["n"]
-    if not before:
-        return sorted_rows.select("url", F.lit(depth).alias("depth"), "parent", F.lit(0).cast("long").alias("place")), start
-    base = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("part")).cast("long")
-    place = base + F.row_number().over(Window.partitionBy("part").orderBy("via", "url")) - 1
-    return sorted_rows.select("url", F.lit(depth).alias("depth"), "parent", place.cast("long").alias("place")), total
+    """``url, depth, parent, place`` of one level, written, with dense places from ``start``; and the next place."""
+    numbered, total = number_rows(rows.select("url", "parent", "via"), ["via", "url"], "place", start)
+    return numbered.select("url", F.lit(depth).alias("depth"), "parent", "place"), total
 
 
 def blocked_runs(fetches: DataFrame, part: str, order: list[str], blocked: str) -> DataFrame:

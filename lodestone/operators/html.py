@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules
 from ..functions import text as T
 from ..functions import urls as U
 
@@ -28,7 +27,6 @@ DROP_ROLES = {"navigation", "banner", "contentinfo"}
 DROP_CLASSES = {"nav", "navbar", "menu", "mega-menu", "breadcrumb", "breadcrumbs", "footer", "header", "cookie", "cookie-banner", "social", "skip-link", "search-box"}
 DROP_IDS = {"onetrust-consent-sdk"}
 MAIN = [("tag", "main"), ("role", "main"), ("tag", "article"), ("id", "main"), ("id", "content"), ("class", "main-content"), ("class", "content"), ("class", "page-content")]
-CRUMB_CLASSES = ["breadcrumb", "breadcrumbs"]
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = {"p", "li", "td", "th", "dd", "dt"}
 SKIP_SCHEMES = ("mailto:", "tel:", "javascript:")
@@ -46,21 +44,23 @@ class El:
     def __init__(self, tag, attrs=()):
         self.tag, self.attrs, self.kids = tag, {k: v or "" for k, v in attrs}, []
 
-    def all(self):
-        for k in self.kids:
-            if isinstance(k, El):
+    def walk(self):
+        """Elements and strings below, in page order; depth costs memory, not the call stack."""
+        stack = [iter(self.kids)]
+        while stack:
+            for k in stack[-1]:
                 yield k
-                yield from k.all()
-
-    def strings(self):
-        for k in self.kids:
-            if isinstance(k, El):
-                yield from k.strings()
+                if isinstance(k, El) and k.kids:
+                    stack.append(iter(k.kids))
+                    break
             else:
-                yield k
+                stack.pop()
+
+    def all(self):
+        return (k for k in self.walk() if isinstance(k, El))
 
     def text(self, sep=" "):
-        return sep.join(s for s in (x.strip() for x in self.strings()) if s)
+        return sep.join(s for s in (x.strip() for x in self.walk() if isinstance(x, str)) if s)
 
 
 class Tree(HTMLParser):
@@ -109,10 +109,11 @@ def strip_furniture(el: El) -> None:
     def bad(k: El) -> bool:
         return k.tag in DROP_TAGS or k.attrs.get("role") in DROP_ROLES or bool(_classes(k) & DROP_CLASSES) or k.attrs.get("id") in DROP_IDS
 
-    el.kids = [k for k in el.kids if not (isinstance(k, El) and bad(k))]
-    for k in el.kids:
-        if isinstance(k, El):
-            strip_furniture(k)
+    todo = [el]
+    while todo:
+        now = todo.pop()
+        now.kids = [k for k in now.kids if not (isinstance(k, El) and bad(k))]
+        todo += [k for k in now.kids if isinstance(k, El)]
 
 
 def find(root: El, kind: str, value: str) -> El | None:
@@ -129,7 +130,14 @@ def main_content(root: El) -> El:
 
 
 def breadcrumbs(root: El) -> list[str]:
-    boxes = [e for e in root.all() if e.attrs.get("aria-label", "").lower() == "breadcrumb" or _classes(e) & set(CRUMB_CLASSES)]
+    tests = [
+        lambda e: "breadcrumb" in _classes(e),
+        lambda e: "breadcrumbs" in _classes(e),
+        lambda e: e.attrs.get("aria-label") == "breadcrumb",
+        lambda e: "BreadcrumbList" in e.attrs.get("itemtype", ""),
+    ]
+    every = list(root.all())
+    boxes = [box for box in (next((e for e in every if test(e)), None) for test in tests) if box is not None]
     for box in boxes:
         out, seen = [], set()
         for e in box.all():
@@ -248,11 +256,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def native_links(html, base):
-    """Canonical in-scope links of a page with double-quoted root-relative or absolute hrefs."""
+    """Canonical in-scope links of a page with double-quoted hrefs, relative ones resolved."""
     found = F.regexp_extract_all(html, F.lit(r'<a[^>]*href="([^"]*)"'), F.lit(1))
-    origin = F.regexp_extract(base, r"^([a-zA-Z][\w+.\-]*://[^/?#]*)", 1)
-    whole = F.transform(F.filter(found, lambda h: ~h.rlike("^\\s*(" + "|".join(SKIP_SCHEMES) + ")")), lambda h: F.when(h.startswith("/"), F.concat(origin, h)).otherwise(h))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(whole, lambda h: U.canon_url(h)), lambda u: U.in_scope(u))))
-
-
-__all__ = ["parse_page", "parse_pages", "native_links", "rules"]
+    wanted = F.filter(F.transform(found, lambda h: F.trim(h)), lambda h: (h != "") & ~h.rlike("^(" + "|".join(SKIP_SCHEMES) + ")"))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(wanted, lambda h: U.canon_url(U.resolve(base, h))), lambda u: U.in_scope(u))))

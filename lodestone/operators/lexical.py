@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut
 
 K1, B = 1.5, 0.4
 BOILERPLATE_SHARE, BOILERPLATE_MIN_DOCS = 0.35, 25
-#: Query rows up to which the query side is sent to every executor.
+#: Different query terms up to which they are sent to every executor.
 BROADCAST_QUERY_TERMS = 200_000
 
 
@@ -52,19 +53,35 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return queries.select(F.col(id_col).alias("query_id"), F.explode(T.tokenize(F.col(text_col))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
+def asked_postings(docs: DataFrame, terms: DataFrame, doc_id: str, doc_text: str) -> DataFrame:
+    """``doc_id, term, tf, doc_len`` of the asked ``terms(term)``, and a row with a null term for each document.
+
+    Written once, as it is read for lengths, for document frequencies and for scores; a
+    term that nobody asks for leaves before the shuffle.
+    """
+    tokens = docs.select(F.col(doc_id).alias("doc_id"), T.tokenize(F.col(doc_text)).alias("tokens"))
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
+    rows = tokens.select("doc_id", F.size("tokens").cast("long").alias("doc_len"), F.explode(marked).alias("term"))
+    few = terms.limit(BROADCAST_QUERY_TERMS + 1).count() <= BROADCAST_QUERY_TERMS
+    wanted = terms.select(F.col("term").alias("_asked"))
+    kept = rows.join(F.broadcast(wanted) if few else wanted, F.col("term") == F.col("_asked"), "left").where(F.col("term").isNull() | F.col("_asked").isNotNull())
+    return cut(kept.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.max("doc_len").alias("doc_len")))
+
+
 def bm25_scores(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", query_id: str = "query_id", query_text: str = "query") -> DataFrame:
-    """``query_id, doc_id, score`` of every document with a positive score."""
-    tokens = with_tokens(docs, doc_id, doc_text)
+    """``query_id, doc_id, score`` of every document with a positive score; ``doc_id`` tells documents apart."""
     asked = query_terms(queries, query_id, query_text)
-    posts = postings(tokens)
-    stats = corpus_stats(doc_lengths(tokens))
-    # documents' lengths come with their terms: the sum over a document's postings
-    terms = term_stats(posts, stats).where(~F.col("is_boilerplate")).join(asked, "term")
-    lengths = doc_lengths(tokens)
+    return score_postings(asked_postings(docs, asked.select("term").distinct(), doc_id, doc_text), asked)
+
+
+def score_postings(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """BM25 of ``asked(query_id, term, qtf)`` over rows as ``asked_postings`` gives them, or an index stores them."""
+    stats = corpus_stats(rows.where("term is null"))
+    posts = rows.where("term is not null")
+    terms = term_stats(posts, stats).where(~F.col("is_boilerplate")).select("term", "idf").join(asked, "term")
     avg = stats.select("avg_len").scalar()
-    hit = posts.join(terms, "term").join(lengths, "doc_id")
     weight = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / avg))
-    return hit.groupBy("query_id", "doc_id").agg(F.sum(weight).alias("score")).where("score > 0")
+    return posts.join(terms, "term").groupBy("query_id", "doc_id").agg(F.sum(weight).alias("score")).where("score > 0")
 
 
 def top_k(scores: DataFrame, k: int, tie: str = "doc_id") -> DataFrame:
@@ -81,10 +98,11 @@ def and_search(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     return posts.join(words, "word").groupBy("query_id", "doc_id", "n").agg(F.count("*").alias("hits")).where("hits = n").select("query_id", "doc_id")
 
 
-def highlight(text, word: str, around: int = 40):
-    """A bracketed first hit with some text on both sides."""
-    low = F.lower(text)
-    at = F.locate(word.lower(), low) if isinstance(word, str) else F.expr("0")
+def highlight(text, word, around: int = 40):
+    """A bracketed first hit of ``word`` (a string or a column) with some text on both sides."""
+    word = F.lower(F.lit(word) if isinstance(word, str) else word)
+    at = F.expr("1") * F.instr(F.lower(text), word)
     start = F.greatest(F.lit(1), at - around)
-    piece = F.concat(F.when(start > 1, "...").otherwise(""), F.substring(text, start, at - start), F.lit("["), F.substring(text, at, F.lit(len(word))), F.lit("]"), F.substring(text, at + len(word), F.lit(around)), F.lit("..."))
+    end = at + F.length(word)
+    piece = F.concat(F.when(start > 1, "...").otherwise(""), F.substring(text, start, at - start), F.lit("["), F.substring(text, at, F.length(word)), F.lit("]"), F.substring(text, end, F.lit(around)), F.when(end + around <= F.length(text), "...").otherwise(""))
     return F.when(at > 0, piece)

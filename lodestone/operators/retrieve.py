@@ -90,7 +90,7 @@ def with_status(queries: DataFrame, hits: DataFrame, min_confidence: float = 0.3
 def retrieve(
     records: DataFrame,
     queries: DataFrame,
-    lexical: DataFrame,
+    lexical: DataFrame | None,
     dense: DataFrame | None = None,
     top_k: int = 5,
     mode: str = "hybrid",
@@ -103,6 +103,8 @@ def retrieve(
     use_auto_filter: bool = True,
     min_confidence: float = 0.0,
     depth: int | None = None,
+    dense_weight: float = rules.DENSE_WEIGHT,
+    bm25_weight: float = rules.BM25_WEIGHT,
 ) -> DataFrame:
     """The whole ranking for ``queries(query_id, query)`` over ``records``.
 
@@ -113,8 +115,8 @@ def retrieve(
     depth = depth or max(50, 10 * top_k)
     none = records.sparkSession.createDataFrame([], "query_id long, record_ord long, score double, rank int")
     d = (dense if dense is not None and mode in ("hybrid", "dense") else none).where(F.col("rank") <= depth)
-    b = (lexical if mode in ("hybrid", "bm25") else none).where(F.col("rank") <= depth)
-    fused = fuse(d, b)
+    b = (lexical if lexical is not None and mode in ("hybrid", "bm25") else none).where(F.col("rank") <= depth)
+    fused = fuse(d, b, dense_weight, bm25_weight)
     if mode != "hybrid":
         fused = fused.withColumn("rrf", F.coalesce("dense_score", "bm25_score"))
     use_boosts = mode == "hybrid" if use_boosts is None else use_boosts

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify as K
-from ..functions import rules
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import corpus, dense, graph, html, lexical, quality, retrieve
@@ -99,9 +98,34 @@ def dense_topk(spark, sf_dir):
     return _dense(spark, sf_dir, 10).select("query_id", F.col("record_ord").alias("vec_id"), F.round("score", 4).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
+def _questions(spark, sf_dir):
+    """Benchmark passages with words that show an intent."""
+    tail = F.element_at(F.array(*[F.lit(x) for x in (" annual fee", " who can apply", " compare cards", "")]), (F.col("item_id") % 4 + 1).cast("int"))
+    return _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat("text", tail).alias("query"))
+
+
+def _labelled(spark, sf_dir):
+    """Documents as records of an invented site, with every label that the ranking looks at."""
+    n = F.col("doc_id")
+    pick = lambda *words: F.element_at(F.array(*map(F.lit, words)), (n % len(words) + 1).cast("int"))
+    url = F.concat(F.lit("https://docs.example/"), pick("retail-banking/cards", "corporate-banking/loans", "news", "about-us", "accounts"), F.lit("/"), (n % 97).cast("string"))
+    title = F.concat(F.lit("Record "), n.cast("string"))
+    rows = _read(spark, sf_dir, "documents").select(n.alias("record_ord"), url.alias("source_url"), title.alias("title"), pick("Fees", "Eligibility", "Overview", "Required documents").alias("section_heading"), "text", T.script_language(F.col("text")).alias("language"), F.when(n % 11 == 0, "pdf").otherwise("html").alias("document_type"), (n % 3 == 0).alias("has_table"), F.concat(F.lit("r"), n.cast("string")).alias("chunk_id"))
+    return rows.withColumn("page_type", K.record_page_type(F.col("source_url"), F.col("title"), F.col("document_type"))).withColumn("segment", K.segment(F.col("source_url"), F.col("title")))
+
+
+def _rankings(spark, sf_dir):
+    """Dense and lexical rankings of the questions over the same documents."""
+    docs, asked = _read(spark, sf_dir, "documents"), _questions(spark, sf_dir)
+    embed = dense.build_embedder("hashing-64d")
+    vectors = embed.passages(docs, "doc_id", "text").withColumnRenamed("id", "record_ord")
+    d = dense.dense_top_k(vectors, embed.queries(asked, "query_id", "query").withColumnRenamed("id", "query_id"), 50)
+    scores = lexical.bm25_scores(docs, asked).withColumn("score", F.round("score", 4))
+    return d, lexical.top_k(scores, 50).withColumnRenamed("doc_id", "record_ord")
+
+
 def _fused(spark, sf_dir):
-    lex = _bm25(spark, sf_dir, 50).withColumnRenamed("doc_id", "record_ord")
-    return retrieve.fuse(_dense(spark, sf_dir, 50), lex)
+    return retrieve.fuse(*_rankings(spark, sf_dir))
 
 
 def rrf_hybrid(spark, sf_dir):
@@ -110,7 +134,7 @@ def rrf_hybrid(spark, sf_dir):
 
 def confidence_status(spark, sf_dir):
     hits = _fused(spark, sf_dir).withColumn("confidence", F.round(retrieve.confidence(F.round("dense_score", 4), F.col("bm25_score"), F.lit(False)), 2))
-    return retrieve.with_status(_read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id")), hits)
+    return retrieve.with_status(_questions(spark, sf_dir), hits)
 
 
 def _title():
@@ -132,10 +156,6 @@ def response_class(spark, sf_dir):
     return pages.select("page_id", K.response_class(F.col("visible"), F.col("html")).alias("response"), (F.length("visible") < 400).alias("unrendered"), K.text_hash(F.col("visible")).alias("text_hash"))
 
 
-def fingerprint_clusters(spark, sf_dir):
-    return response_class(spark, sf_dir).groupBy("text_hash").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page")).where("n > 1")
-
-
 def page_links(spark, sf_dir):
     pages = _read(spark, sf_dir, "pages").select("page_id", F.explode(html.native_links(F.col("html"), F.col("url"))).alias("link"))
     return pages
@@ -184,7 +204,7 @@ def existence_check(spark, sf_dir):
 
 
 def fts_and(spark, sf_dir):
-    items = _read(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("query"))
+    items = _read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("query"))
     return lexical.and_search(_read(spark, sf_dir, "documents"), items, query_id="item_id").select(F.col("query_id").alias("item_id"), "doc_id")
 
 
@@ -211,10 +231,6 @@ def label_overview(spark, sf_dir):
     return quality.overview(_records(spark, sf_dir), ["language", "document_type", "page_type", "segment", "has_table"])
 
 
-def audit_counts(spark, sf_dir):
-    return _read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
-
-
 def block_runs(spark, sf_dir):
     fetches = _read(spark, sf_dir, "events").select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("blocked"))
     runs = graph.blocked_runs(fetches, "user_id", ["ts", "event_id"], "blocked")
@@ -263,17 +279,16 @@ def upsert(spark, sf_dir):
 
 
 def diverse_topk(spark, sf_dir):
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("doc_key"), F.substring("text", 1, 160).alias("fingerprint"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("doc_key"), F.substring(F.coalesce("text", F.lit("")), 1, 160).alias("fingerprint"))
     ranked = _bm25(spark, sf_dir, 50).join(docs, "doc_id").withColumn("confidence", F.lit(1.0))
     out = retrieve.diverse(ranked, 5, 2)
     return out.select(F.col("query_id").alias("item_id"), F.col("rank").cast("long").alias("rank"), "doc_key", "place")
 
 
 def hybrid_retrieve(spark, sf_dir):
-    records = _records(spark, sf_dir)
-    asked = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    lex = lexical.top_k(lexical.bm25_scores(records, asked, doc_id="record_ord"), 50).withColumnRenamed("doc_id", "record_ord")
-    return retrieve.retrieve(records, asked, lex, _dense(spark, sf_dir, 50)).select("query_id", "result_rank", "record_ord", "score", "base_score", "confidence", "page_type", "segment")
+    d, lex = _rankings(spark, sf_dir)
+    out = retrieve.retrieve(_labelled(spark, sf_dir), _questions(spark, sf_dir), lex, d)
+    return out.select("query_id", F.col("result_rank").cast("long").alias("result_rank"), "record_ord", "score", "base_score", "confidence", "page_type", "segment")
 
 
 def _gate_inputs(spark, sf_dir):
@@ -295,19 +310,18 @@ def verify_gate(spark, sf_dir):
 
 QUERIES = [
     bm25_topk, term_stats, corpus_stats, url_canonical, url_scope_attach, url_section_path, url_dedup_first, lang_script, content_dedup, thin_documents, hash_embed, dense_topk, rrf_hybrid, confidence_status,
-    page_labels, query_intents, response_class, fingerprint_clusters, page_links, inbound_top, parse_pages, chunk_windows, greedy_chunks, page_estimate, cache_hits, dup_clusters, existence_check, fts_and, health_check,
-    staleness, label_overview, audit_counts, block_runs, crawl_until_blocked, freshness, bfs_levels, crawl_levels, set_coverage, upsert, diverse_topk, hybrid_retrieve, verify_gate,
+    page_labels, query_intents, response_class, page_links, inbound_top, parse_pages, chunk_windows, greedy_chunks, page_estimate, cache_hits, dup_clusters, existence_check, fts_and, health_check,
+    staleness, label_overview, block_runs, crawl_until_blocked, freshness, bfs_levels, crawl_levels, set_coverage, upsert, diverse_topk, hybrid_retrieve, verify_gate,
 ]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    from . import corpus_queries
 
+    return {f.__name__: f for f in [*QUERIES, *corpus_queries.QUERIES]}
 
-def oracle_sql() -> dict[str, str]:
-    from . import oracles
-
-    return oracles.sql()
 
+def oracle_sql() -> dict[str, str]:
+    from . import corpus_queries, oracles
 
-__all__ = ["QUERIES", "flagship", "oracle_sql", "queries", "Window", "rules"]
+    return {**oracles.sql(), **corpus_queries.sql()}
