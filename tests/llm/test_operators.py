@@ -381,7 +381,8 @@ def test_packer_routes_to_tiers():
     assert packing.pack([]) == [] and packing.pack([1]) == [[(0, 0, 1)]]
 
 
-def test_op6_base_counts(spark):
+def test_op6_base_counts(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "STEPS", 20)
     df = frame(spark)
     got = {r["doc_id"]: r for r in attention_lm.score_documents(df).collect()}
     words = {r["doc_id"]: [*WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r["text"] or "")), None] for r in df.collect()}
@@ -395,70 +396,126 @@ def test_op6_base_counts(spark):
         assert r["score"] < 0
 
 
-def test_op6_learns_from_every_training_document(spark, monkeypatch):
+LM_PATH = bpe.tokenizer_file("byte_bpe_50k.tiktoken")
+
+
+def lm_ids(text: str) -> np.ndarray:
+    return np.frombuffer(attention_lm.SubwordIds.shared(LM_PATH).encode(attention_lm._lower_words(text.encode())), "<u2").astype(np.int64)
+
+
+def lm_model(streams: list[np.ndarray], seed: int = 0) -> attention_lm.Model:
+    """A model of some documents, with weights that are far from those before training."""
+    sub, rng = attention_lm.SubwordIds.shared(LM_PATH), np.random.default_rng(seed)
+    counts = np.bincount(np.concatenate(streams), minlength=sub.size)
+    symbols = attention_lm.choose_symbols(counts, sub.spaced, sub.end)
+    codes = np.concatenate([attention_lm.pair_codes(symbols, x, np.array([0, len(x)])) for x in streams])
+    pairs = np.bincount(codes, minlength=(attention_lm.OUT + 1) * attention_lm.FINE).reshape(attention_lm.OUT + 1, -1)
+    w = attention_lm.first_weights()
+    w["O"] = rng.normal(0, 0.5, w["O"].shape).astype(np.float32)
+    return attention_lm.assemble(symbols, counts, pairs, w)
+
+
+def slow_log_prob(m: attention_lm.Model, ids: np.ndarray, k: int) -> float:
+    """Log probability of id ``k`` of a document, from the definition: one query, one head, plain softmax."""
+    A, w = attention_lm, m.weights
+    seen = np.concatenate(([A.START], m.symbols.symbol[ids[:k]]))
+    window = k // A.STRIDE
+    x = seen[max(0, window * A.STRIDE - (A.WINDOW - A.STRIDE)) :]
+    e = w["E"][x].astype(float)
+    s = (e @ w["K"]) @ (e[-1] @ w["Q"]) + w["age"][np.arange(len(x))[::-1]]
+    a = np.exp(s - s.max())
+    u = e[-1] @ w["S"] + (a / a.sum()) @ (e @ w["V"])
+    z = np.log(m.pairs[x[-1]]) + (u / (1 + abs(u))) @ w["O"]
+    y = ids[k]
+    p = z[m.symbols.symbol[y]] - np.log(np.exp(z).sum())
+    return p + m.log_in_symbol[x[-1], m.symbols.fine[y]] + m.log_in_fine[y]
+
+
+def test_op6_scores_equal_the_definition():
+    rng, words = random.Random(3), vocabulary(3)
+    docs = [lm_ids(" ".join(rng.choice(words) for _ in range(n))) for n in (0, 1, 5, 40, 200, 17)]
+    m = lm_model(docs)
+    got = attention_lm.id_log_probs(m, np.concatenate(docs), np.cumsum([0] + [len(d) for d in docs]), rows=3)
+    want = [slow_log_prob(m, d, k) for d in docs for k in range(len(d))]
+    assert np.allclose(got, want, atol=2e-4) and len(want) > 400
+
+
+def test_op6_a_score_depends_on_its_own_text_alone():
+    rng, words = random.Random(4), vocabulary(4)
+    doc = lm_ids(" ".join(rng.choice(words) for _ in range(150)))
+    m = lm_model([doc])
+    alone = attention_lm.id_log_probs(m, doc, np.array([0, len(doc)])).sum()
+    for before in (1, 3, 5, 11, 16, 200):
+        other = lm_ids(" ".join(rng.choice(words) for _ in range(before)))
+        stream, offs = np.concatenate((other, doc, other)), np.cumsum([0, len(other), len(doc), len(other)])
+        assert abs(attention_lm.id_log_probs(m, stream, offs)[offs[1] : offs[2]].sum() - alone) < 1e-3
+
+
+def test_op6_is_a_distribution():
+    doc = lm_ids(" ".join(vocabulary(5)))
+    m = lm_model([doc])
+    every = np.arange(len(m.symbols.symbol))
+    for k in (0, 1, 30):
+        p = [slow_log_prob(m, np.append(doc[:k], y), k) for y in np.unique(np.concatenate((doc, every[::500])))]
+        assert max(p) < 0
+    for before in (attention_lm.START, 0, 100, attention_lm.HEAD):
+        inside = np.bincount(m.symbols.symbol, weights=np.exp(m.log_in_symbol[before, m.symbols.fine] + m.log_in_fine), minlength=attention_lm.OUT)
+        assert np.allclose(inside[np.unique(m.symbols.symbol)], 1, atol=1e-4) and abs(m.pairs[before].sum() - 1) < 1e-4
+
+
+def test_op6_attention_learns_what_pairs_cannot():
+    """The third id after a mark tells which mark it was; the two between say nothing."""
+    rng = np.random.default_rng(7)
+    parts = [np.array([attention_lm.START, *[x for a in rng.integers(0, 2, 60) for x in (a, 10, 11, 20 + a)]]) for _ in range(20)]
+    stream = np.concatenate(parts)
+    pairs = np.full((attention_lm.OUT + 1, attention_lm.OUT), 1e-3, np.float32)
+    np.add.at(pairs, (stream[:-1], np.minimum(stream[1:], attention_lm.OUT - 1)), 1)
+    pairs /= pairs.sum(axis=1, keepdims=True)
+    w = attention_lm.descend(attention_lm.first_weights(), stream, pairs, 300, seed=1)
+    ids = np.concatenate(([0, 1] * 30, [0, 10, 11, 20, 1, 10, 11, 21] * 6))
+    symbols = attention_lm.Symbols(np.arange(attention_lm.OUT, dtype=np.int32), np.arange(attention_lm.OUT, dtype=np.int32))
+    zero = np.zeros((attention_lm.OUT + 1, attention_lm.FINE), np.float32)
+    score = lambda w: attention_lm.id_log_probs(attention_lm.Model(symbols, pairs, zero, np.zeros(attention_lm.OUT), w), ids, np.array([0, len(ids)]))[60:][3::4]
+    assert np.exp(score(attention_lm.first_weights())).max() < 0.6 and np.exp(score(w)).min() > 0.85
+
+
+def test_op6_counts_every_training_document(spark):
     """One text far longer than all others, wherever a sample starts, does not stand for them."""
     rng, words = random.Random(12), vocabulary(12)
     long = max((i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2), key=lambda i: zlib.crc32(b"%d" % i))
-    rows = [(i, " ".join(rng.choice(words) for _ in range(220_000 if i == long else 30))) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    path = bpe.tokenizer_file("byte_bpe_50k.tiktoken")
-    seen = []
-    real = attention_lm.assemble
-    monkeypatch.setattr(attention_lm, "assemble", lambda *a: seen.append(a) or real(*a))
-    attention_lm.fit(df, path)
-    counts, klass, pairs = seen[0][:3]
-    sub = attention_lm.SubwordIds.shared(path)
+    rows = [(i, " ".join(rng.choice(words) for _ in range(60_000 if i == long else 30))) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    sub = attention_lm.SubwordIds.shared(LM_PATH)
+    symbols = attention_lm.choose_symbols(np.bincount(lm_ids(rows[0][1]), minlength=sub.size), sub.spaced, sub.end)
+    counts, pairs = attention_lm._training_counts(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), LM_PATH, symbols)
+    lists = [lm_ids(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2] + [lm_ids("")]
+    assert np.array_equal(counts, np.bincount(np.concatenate(lists), minlength=sub.size))
     want = np.zeros_like(pairs)
-    for i, t in rows:
-        if zlib.crc32(str(i).encode()) % 7 != 2:
-            c = klass[np.frombuffer(sub.encode(attention_lm._lower_words(t.encode())), "<u2")]
-            np.add.at(want, (np.append(attention_lm.CLASSES, c[:-1]), c), 1)
-    assert np.array_equal(pairs, want) and pairs.sum() == counts.sum()
+    for x in lists:
+        np.add.at(want, (np.append(attention_lm.START, symbols.symbol[x[:-1]]), symbols.fine[x]), 1)
+    assert np.array_equal(pairs, want)
 
 
 def test_op6_passages_come_from_many_documents_and_grow(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "LEAST_PASSAGES", 40)
     monkeypatch.setattr(attention_lm, "PASSAGE_SHARE", 0.1)
-    path, words = bpe.tokenizer_file("byte_bpe_50k.tiktoken"), vocabulary(12)
+    words = vocabulary(12)
     docs = lambda n: spark.createDataFrame([(i, f"{words[i % 300]} " * 1500) for i in range(n)], "doc_id long, text string")
-    few, many = (attention_lm._passages(docs(n), path) for n in (30, 300))
+    few, many = ([np.frombuffer(r["ids"], "<u2") for r in attention_lm._passages(docs(n), LM_PATH).collect()] for n in (30, 300))
     assert 20 <= len(few) <= 60 and len(many) > 2 * len(few) and len({bytes(x[:4]) for x in many}) > 50
     assert max(map(len, many)) <= attention_lm.PASSAGE
 
 
-def test_op6_windows_score_each_id_once():
-    rng = np.random.default_rng(6)
-    sub = attention_lm.SubwordIds.shared(bpe.tokenizer_file("byte_bpe_50k.tiktoken"))
-    docs = [rng.integers(300, 700, n) for n in (1, 5, 40, 100, 17)]
-    stream, offs = np.concatenate(docs), np.cumsum([0] + [len(d) for d in docs])
-    counts = np.bincount(stream, minlength=sub.size)
-    model = attention_lm.build(counts, stream, np.repeat(np.arange(5), np.diff(offs)), sub)
-    got = attention_lm.class_log_probs(model, stream, offs)
-    # one id at a time, from the window the batch uses
-    w = model.weights
-    for g in (0, 3, 7, 30, 60, 120, len(stream) - 1):
-        d = int(np.searchsorted(offs, g, "right")) - 1
-        if g == offs[d]:
-            continue
-        begin = (g // attention_lm.STRIDE) * attention_lm.STRIDE - 1 - (attention_lm.WINDOW - attention_lm.STRIDE)
-        lo = max(begin, int(offs[d]))
-        x = w["E"][model.klass[stream[lo:g]]]
-        s = x[-1] @ w["Q"] @ (x @ w["K"]).T + w["age"][np.arange(g - lo)[::-1]]
-        a = np.exp(s - s.max())
-        h = np.tanh(x[-1] @ w["S"] + (a / a.sum()) @ (x @ w["V"]))
-        z = np.exp(h @ w["O"] + w["b"])
-        y = model.klass[stream[g]]
-        p = (1 - model.mix) * z[y] / z.sum() + model.mix * model.pairs[model.klass[stream[g - 1]], y]
-        assert abs(got[g] - (np.log(p) + model.log_in_class[stream[g]])) < 1e-3
-    assert np.isfinite(got).all()
-
-
-def test_op6_is_a_distribution():
-    sub = attention_lm.SubwordIds.shared(bpe.tokenizer_file("byte_bpe_50k.tiktoken"))
-    stream = np.random.default_rng(1).integers(0, 50000, 500)
-    model = attention_lm.build(np.bincount(stream, minlength=sub.size), stream, np.zeros(500, int), sub)
-    total = np.bincount(model.klass, weights=np.exp(model.log_in_class), minlength=attention_lm.CLASSES)
-    assert np.allclose(total[np.unique(model.klass)], 1) and np.allclose(model.pairs.sum(axis=1), 1)
+def test_op6_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "STEPS", 20)
+    words = vocabulary(15)
+    long = " ".join(random.Random(1).choices(words, k=30_000))
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (2, " ".join(words)), (None, None), (None, ""), (3, long), (4, "  \t")]
+    df = spark.createDataFrame([(i, t, 1.0, 2) for i, t in rows], "doc_id long, text string, score double, n_tokens long")
+    got = attention_lm.score_documents(df).collect()
+    assert len(got) == 7 and len({r["score"] for r in got if r["n_tokens"] == 301}) == 1
+    assert len({(r["score"], r["base_score"]) for r in got if r["n_tokens"] == 1}) == 1 and sum(r["n_tokens"] == 30_001 for r in got) == 1
+    assert attention_lm.score_documents(df.limit(0)).count() == 0
 
 
 def test_op7_equals_the_library(spark):
