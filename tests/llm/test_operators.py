@@ -475,7 +475,7 @@ def test_op6_attention_learns_what_pairs_cannot():
     ids = np.concatenate(([0, 1] * 30, [0, 10, 11, 20, 1, 10, 11, 21] * 6))
     symbols = attention_lm.Symbols(np.arange(attention_lm.OUT, dtype=np.int32), np.arange(attention_lm.OUT, dtype=np.int32))
     zero = np.zeros((attention_lm.OUT + 1, attention_lm.FINE), np.float32)
-    score = lambda w: attention_lm.id_log_probs(attention_lm.Model(symbols, pairs, zero, np.zeros(attention_lm.OUT), w), ids, np.array([0, len(ids)]))[60:][3::4]
+    score = lambda w: attention_lm.id_log_probs(attention_lm.Model(symbols, pairs, zero, np.zeros(attention_lm.OUT), w), ids, np.array([0, len(ids)]))[68:][3::4]
     assert np.exp(score(attention_lm.first_weights())).max() < 0.6 and np.exp(score(w)).min() > 0.85
 
 
