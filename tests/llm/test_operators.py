@@ -431,6 +431,15 @@ def slow_log_prob(m: attention_lm.Model, ids: np.ndarray, k: int) -> float:
     return p + m.log_in_symbol[x[-1], m.symbols.fine[y]] + m.log_in_fine[y]
 
 
+def test_op6_words_are_encoded_alike_together_and_alone():
+    words = sorted({w for t in texts() if t for w in attention_lm._lower_words(t.encode())} | {"a\u00a0b".encode(), "\u00a0x".encode(), "y\u00a0".encode(), "it's".encode(), b"<|endoftext|>", "日本\u3000語".encode(), b"\x00\x01", "12a—b".encode()})
+    together, alone = (attention_lm.SubwordIds(LM_PATH) for _ in range(2))
+    together.spell([*words[::2], *words])
+    assert [together.encode([w]) for w in words] == [alone.encode([w]) for w in words]
+    one_by_one = [np.array([*alone.encoding.encode_ordinary(" " + w.decode()), alone.end], "<u2").tobytes() for w in words]
+    assert [together.encode([w]) for w in words] == one_by_one
+
+
 def test_op6_scores_equal_the_definition():
     rng, words = random.Random(3), vocabulary(3)
     docs = [lm_ids(" ".join(rng.choice(words) for _ in range(n))) for n in (0, 1, 5, 40, 200, 17)]
