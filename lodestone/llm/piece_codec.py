@@ -12,7 +12,10 @@ characters without an edge become byte pieces.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,8 @@ from .bpe import tokenizer_file
 MARK = "▁"
 #: Characters of distinct words that one suffix array covers.
 BATCH_CHARS = 400_000
+#: Longer words are relaxed one by one with a heap, in time linear (but for a logarithm) in their length.
+LONG_WORD = 128
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean, ids array<int>"
 
 
@@ -135,12 +140,19 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
     text = np.frombuffer("\0".join(words).encode("utf-32-le") + b"\0\0\0\0", np.uint32)
     first = np.cumsum(sizes + 1) - sizes - 1
     at, piece = find_edges(text, pieces)
-    # symbols: one per character at first
-    pos = np.concatenate([np.arange(f, f + s) for f, s in zip(first.tolist(), sizes.tolist())])
-    word = np.repeat(np.arange(len(words)), sizes)
-    width = np.ones(len(pos), np.int64)
     edge_key = at * 256 + pieces.length[piece]
     edge_rank = pieces.rank[piece]
+    done_pos, done_width = [], []
+    for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+        lo, hi = np.searchsorted(edge_key, (first[k] * 256, (first[k] + sizes[k]) * 256))
+        width = _relax_long(int(sizes[k]), edge_key[lo:hi] - first[k] * 256, edge_rank[lo:hi])
+        done_pos.append(first[k] + np.flatnonzero(width))
+        done_width.append(width[width > 0])
+    # symbols: one per character at first
+    short = np.flatnonzero(sizes <= LONG_WORD)
+    word = np.repeat(short, sizes[short])
+    pos = np.arange(len(word)) - np.repeat(np.cumsum(sizes[short]) - sizes[short] - first[short], sizes[short])
+    width = np.ones(len(pos), np.int64)
     big = np.int64(1) << 40
 
     def look_up(p, w):
@@ -148,7 +160,6 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
         i = np.minimum(np.searchsorted(edge_key, key), max(len(edge_key) - 1, 0))
         return np.where(edge_key[i] == key, edge_rank[i], big) if len(edge_key) else np.full(len(p), big)
 
-    done_pos, done_width = [], []
     while len(pos):
         pair = np.full(len(pos), big)
         same = np.flatnonzero(word[1:] == word[:-1])
@@ -189,6 +200,39 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
     return out
 
 
+def _relax_long(n: int, keys: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Widths of the symbols that begin at each character of one long word (0: none does).
+
+    The same merge order as in rounds, best edge first and leftmost of ties, kept in a
+    heap: a round a merge would look at the whole word each time.
+    """
+    known, rank = array("q", keys.astype(np.int64).tobytes()), ranks.tolist()
+    width, before, heap = [1] * n, list(range(-1, n - 1)), []
+
+    def offer(p: int) -> None:
+        q = p + width[p]
+        if q < n:
+            key = p * 256 + width[p] + width[q]
+            i = bisect.bisect_left(known, key)
+            if i < len(known) and known[i] == key:
+                heapq.heappush(heap, (rank[i], p, width[p] + width[q]))
+
+    for p in range(n - 1):
+        offer(p)
+    while heap:
+        _, p, w = heapq.heappop(heap)
+        q = p + width[p]
+        if not width[p] or q >= n or width[p] + width[q] != w:
+            continue  # one of the two has merged with another since
+        width[p], width[q] = w, 0
+        if p + w < n:
+            before[p + w] = p
+        offer(p)
+        if before[p] >= 0:
+            offer(before[p])
+    return np.array(width, np.int64)
+
+
 def normalize(text: str) -> str:
     """The model's text: a space mark in front and for every space; other characters stay."""
     return MARK + text.replace(" ", MARK) if text else ""
@@ -247,7 +291,10 @@ def encode_documents(docs: DataFrame, model: str | None = None, with_ids: bool =
 
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit numbers; ``round_trip``
     tells whether decoding gives the text back (a text that itself holds the space mark
-    does not).  Without ``with_ids`` the ids column is null.  Null and empty texts have no pieces.  Other columns are ignored.
+    does not).  Without ``with_ids`` the ids column is null.  Null and empty texts have no
+    pieces.  Rows with null or repeated ids are rows of their own.  Very long texts, also
+    such without spaces, are encoded whole.  Other columns are ignored; an empty table
+    gives an empty result.
     """
     path = model or tokenizer_file("piece_bpe_32k.model")
 

@@ -543,6 +543,31 @@ def test_op7_equals_the_library(spark):
     assert piece_codec.encode_documents(frame(spark, [None])).first()["n_pieces"] == 0
 
 
+@pytest.mark.parametrize("length", [1, 8, 128])
+def test_op7_long_words_merge_in_the_same_order(monkeypatch, length):
+    rng = random.Random(16)
+    monkeypatch.setattr(piece_codec, "LONG_WORD", length)
+    pieces = piece_codec.Pieces(bpe.tokenizer_file("piece_bpe_32k.model"))
+    values = ["".join(rng.choice(a) for _ in range(400)) for a in ("ab", "aeiou thing", "the ", "日本語abc", "A1+/=xyZ")] + ["then" * 200, "a" * 500, "ing" * 300 + " " + "s" * 200]
+    want = pieces.processor.encode(values)
+    assert [np.frombuffer(x, "<u2").tolist() for x in piece_codec.encode_batch(values, pieces)] == want
+
+
+def test_op7_unspaced_text_takes_linear_time():
+    pieces = piece_codec.Pieces(bpe.tokenizer_file("piece_bpe_32k.model"))
+    text = "".join(random.Random(2).choices("abcdefghij\n日本", k=200_000))
+    start = time.time()
+    got = piece_codec.encode_batch([text], pieces)[0]
+    assert time.time() - start < 30 and piece_codec.decode(np.frombuffer(got, "<u2"), pieces) == text
+
+
+def test_op7_empty_table_repeated_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 2, "i"), (1, "a b", 2, "i"), (None, None, 0, "")], "doc_id long, text string, n_pieces long, ids string")
+    got = piece_codec.encode_documents(df).collect()
+    assert sorted((r["doc_id"] or 0, r["n_pieces"]) for r in got) == [(0, 0), (1, 2), (1, 2)]
+    assert piece_codec.encode_documents(df.limit(0)).count() == 0
+
+
 def test_op8_reads_back_what_it_stored(spark):
     df = frame(spark, [*texts(), "long " * 40000])
     got = {r["doc_id"]: r for r in media.media_columns(df).collect()}
