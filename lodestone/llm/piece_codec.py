@@ -50,7 +50,12 @@ class Pieces:
         for i in range(n):
             if sp.is_byte(i):
                 self.bytes[int(sp.id_to_piece(i)[3:-1], 16)] = i
-        self.byte_of = {int(i): b for b, i in enumerate(self.bytes)}
+        #: Bytes that each id stands for; control and unknown ids stand for none.
+        self.raw = [b""] * n
+        for i, t in self.text.items():
+            self.raw[i] = t.encode()
+        for b, i in enumerate(self.bytes.tolist()):
+            self.raw[i] = bytes([b])
         order = sorted(normal, key=lambda i: self.text[i])
         self.ids = np.array(order, np.int32)
         self.score = np.array([sp.get_score(i) for i in order])
@@ -278,11 +283,7 @@ def _join_marks(words: list[str]) -> list[str]:
 
 def decode(ids: np.ndarray, pieces: Pieces) -> str:
     """The text of piece ids; byte pieces are joined before they are read as UTF-8."""
-    out = bytearray()
-    for i in ids.tolist():
-        b = pieces.byte_of.get(i)
-        out += bytes([b]) if b is not None else pieces.text[i].encode()
-    text = out.decode("utf-8", "replace").replace(MARK, " ")
+    text = b"".join(map(pieces.raw.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(MARK, " ")
     return text[1:]
 
 
