@@ -40,7 +40,8 @@ def boost_total(applied: Column) -> Column:
 
 def confidence(dense: Column, bm25: Column, heading_match: Column) -> Column:
     """Evidence from 0 to 1: similarity, a lexical hit, a matching heading."""
-    c = F.coalesce(0.65 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), dense)), F.lit(0.0))
+    # least and greatest skip nulls, so a missing similarity needs its own case
+    c = F.when(dense.isNotNull(), 0.65 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), dense))).otherwise(0.0)
     c = c + F.coalesce(F.when(bm25 != 0, 0.20 * F.least(F.lit(1.0), bm25 / 8.0)), F.lit(0.0))
     c = c + F.when(heading_match, 0.15).otherwise(0.0)
     return F.bround(F.least(F.lit(1.0), c), 4)

@@ -346,7 +346,7 @@ def sql() -> dict[str, str]:
     tags = _script("text")
     return {
         "fingerprint_clusters": f"with {_PAGES}, {_seen()} select text_hash, count(*) n, min(words) words, min(flags) flags, bool_or(not_found) not_found, min(page_id) first_page from seen group by 1 having count(*) > 1",
-        "page_documents": f"with {O._CANON}, {O._LINKS} select url source_url, canon url, trim({O._TITLE}) title, (select count(*) from lk where lk.page_id = canon.page_id) n_links from canon",
+        "page_documents": f"with {O._CANON}, {O._LINKS} select url source_url, canon url, trim(replace(replace(replace({O._TITLE}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) title, (select count(*) from lk where lk.page_id = canon.page_id) n_links from canon",
         "unique_bodies": f"with {_PAGES}, {_seen()}, g as (select count(*) n from seen group by text_hash) select sum(n)::bigint pages, count(*) bodies, count(*) filter (n = 1) unique_bodies from g",
         "soft404_learned": f"with {_PAGES}, {_seen()}, l as (select text_hash, case when response = 'blocked' then 'b' when response = 'not_found' then 's' end k from seen where page_id < 10) select page_id from seen where response <> 'blocked' and text_hash not in (select text_hash from l where k is not null)",
         "soft404_fingerprints": f"with {_PAGES}, {_seen()} select case when response = 'blocked' then 'blocked' else 'soft_404' end kind, text_hash, min(words) words from seen where response = 'blocked' or (page_id < 20 and response = 'not_found') group by all",
