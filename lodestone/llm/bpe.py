@@ -18,7 +18,7 @@ import regex
 _SPECIAL = re.compile(r"[^\x09-\x0D\x20-\x7E¡-įĲ-ɏ]|<\|")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words in a worker's table before it starts anew.
-MAX_WORDS = 1_200_000
+MAX_WORDS = 600_000
 
 
 def tokenizer_file(name: str) -> str:

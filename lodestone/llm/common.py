@@ -48,6 +48,23 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Rows and bytes of a batch between Spark and Python.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hand Python batches of bounded size: 10,000 long texts at a time would not fit a worker.
+
+    Settings that the session was given are left alone; results do not depend on them.
+    """
+    for name, usual, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", None, BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if usual is None and spark.sparkContext.getConf().contains(key):
+            continue
+        if usual is None or spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, str(value))
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, with underscores in front until no column is called so."""
     taken = {c.lower() for c in columns}
@@ -68,6 +85,7 @@ def parts(total_bytes: int, each: int) -> int:
 
 def cells(docs: DataFrame, n_cells: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """``(cell, doc_id, text)`` and ``carry``, null text as empty; other columns are left out."""
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_cells)).cast("int").alias("cell"),
         F.col(id_col).cast("long").alias("doc_id"),

@@ -125,6 +125,7 @@ def _media_rows(docs: DataFrame, id_col: str, text_col: str, columns: pa.Schema,
                 rows += rows_of(doc, raw, encode_wave(pad(raw)))
             yield _rows(rows, columns)
 
+    C.bound_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return picked.mapInArrow(run, schema)
 

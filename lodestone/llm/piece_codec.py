@@ -315,6 +315,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, with_ids: bool =
                 names=["doc_id", "n_pieces", "ids_crc32", "round_trip", "ids"],
             )
 
+    C.bound_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return picked.mapInArrow(run, SCHEMA)
 

@@ -314,6 +314,7 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast: int
     length are walked without recursion, in linear time.  Other columns are ignored; an
     empty table gives an empty result.  Text is never cut.
     """
+    C.bound_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("salt", F.xxhash64(_host(F.col("url"))))
 

@@ -160,6 +160,7 @@ def score_rows(docs: DataFrame, model: Model, name: str, text_col: str = "text")
     Null and empty texts get the bias alone.  Repeated rows get equal scores.  The work
     is a map: nothing is shuffled.
     """
+    C.bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.index, model.weight))
 
     def run(batches):
