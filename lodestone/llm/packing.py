@@ -113,7 +113,7 @@ def pack_documents(docs: DataFrame, window: int = 2048, tokenizer: str | None =
     def tokenize(batches):
         bpe = CachedBPE.shared(path)
         for batch in batches:
-            ids = [bpe.encode(t) for t in batch.column("text").to_pylist()]
+            ids = bpe.encode_all(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("cell"), batch.column("doc_id"), pa.array(ids, pa.binary())], names=["cell", "doc_id", "ids"])
 
     def run(key, table):
