@@ -18,7 +18,7 @@ import regex
 _SPECIAL = re.compile(r"[^\x09-\x0D\x20-\x7E¡-įĲ-ɏ]|<\|")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words in a worker's table before it starts anew.
-MAX_WORDS = 900_000
+MAX_WORDS = 600_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,17 +61,6 @@ class CachedBPE:
             self._learn(set(chunks))
             return b"".join(map(self.words.__getitem__, chunks))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """``encode`` of each text; the new words of all of them are encoded in one call."""
-        plain = [None if _SPECIAL.search(t) else t.lower().split() for t in texts]
-        have = self.words
-        new = {c for chunks in plain if chunks for c in chunks if c not in have}
-        if new:
-            if len(have) + len(new) > MAX_WORDS:  # starting anew drops words met before, too
-                new.update(*[c for c in plain if c])
-            self._learn(new)
-        return [self.encode(t) if chunks is None else b"".join(map(have.__getitem__, chunks)) for t, chunks in zip(texts, plain)]
-
     def _learn(self, chunks: set[str]) -> None:
         """Put chunks (words with the marks around them) into the table, by their words."""
         if len(self.words) + len(chunks) > MAX_WORDS:

@@ -351,15 +351,6 @@ def test_op2_pieces_cover_every_id(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
-def test_op2_ids_of_many_texts_equal_those_of_each(monkeypatch):
-    values = [t for t in texts() if t is not None]
-    one, many = (bpe.CachedBPE(bpe.tokenizer_file("word_bpe_49k.json")) for _ in range(2))
-    want = [np.array(one.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in values]
-    assert many.encode_all(values) == want
-    monkeypatch.setattr(bpe, "MAX_WORDS", 50)
-    assert [x for k in range(0, len(values), 3) for x in many.encode_all(values[k : k + 3])] == want
-
-
 def test_packer_packs_each_tier_and_fills_gaps_from_shorter_ones():
     rng = random.Random(3)
     sizes = [min(5000, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(3000)]
