@@ -9,17 +9,21 @@ logits are the log shares of what follows the last id in all training documents
 of symbol pairs) plus the output of a self-attention layer, so attention learns what
 pairs alone do not tell.
 
-Training.  Pair and id counts come from every training document, in one pass.  The layer
-is trained on passages drawn by a hash from all training documents, whose number grows
-with the input: they are dealt to shards of bounded size, each shard descends on its own
-from the weights of the round before, and the shards' weights are averaged by Spark.
+Coding.  Each cell of documents is coded once: its distinct words, the ids of each, and
+the place of every token among them.  Counts, training and scores start from there.
+
+Training.  Symbols, pair and id counts come from every training document.  So does the
+layer: each cell goes once over every symbol of its training documents, all cells from
+common weights, and the cells' weights are averaged by Spark.  The common weights come
+from passages drawn by a hash from all training documents, in shards of bounded size and
+rounds of averaging; without them the cells' layers would differ too much to be averaged.
 
 Scoring.  A document is cut, from its own start, into overlapping windows of ``WINDOW``
 symbols, ``STRIDE`` apart; an id is scored once, in the window where it has at least
 WINDOW - STRIDE symbols before it, or all there are.  A batch of windows is a few matrix
 products with a causal mask.  What stands in other documents never matters.
 
-The base score needs the count of each word over all training documents.  Cells ask the
+The base score needs the count of each token over all training documents.  Cells ask the
 buckets of ``common`` for their distinct words, so each word costs an entry per cell.
 """
 
@@ -52,7 +56,10 @@ PAIR_PRIOR = 8.0
 PASSAGE, LEAST_PASSAGES, PASSAGE_SHARE = 1024, 2_000, 1 / 500
 #: Passages of a shard; rounds of averaging; descent steps a round; windows of a step.
 SHARD, ROUNDS, STEPS, BATCH = 1_000, 2, 800, 32
+#: Rate of the pass over all training documents, and windows of its steps; positions whose softmax is held at a time.
+PASS_RATE, PASS_BATCH, PIECE = 0.01, 64, 256
 _COUNTS = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_CODED = pa.schema([("cell", pa.int32()), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("counts", "at", "keys", "ids", "sizes"))])
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64())])
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 _END_WORD = C.U64(0xE7D2C3B4A5968778)
@@ -166,56 +173,74 @@ def first_weights(seed: int = 11) -> dict[str, np.ndarray]:
     return {"E": rng.normal(0, 0.5, (OUT + 1, DIM)).astype(f), "Q": square(), "K": square(), "V": square(), "S": square(), "O": np.zeros((DIM, OUT), f), "age": (-0.05 * np.arange(WINDOW)).astype(f)}
 
 
-def _attend(s: np.ndarray) -> np.ndarray:
-    """Softmax over the last axis, in place."""
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    return s
-
-
 def _squash(x: np.ndarray) -> np.ndarray:
     """x / (1 + |x|), between -1 and 1; its slope is (1 - |result|) squared."""
     return x / (1 + np.abs(x))
 
 
-def descend(w: dict[str, np.ndarray], stream: np.ndarray, pairs: np.ndarray, steps: int, seed: int, rate: float = 0.02) -> dict[str, np.ndarray]:
-    """Adam on the cross-entropy of the next symbol, over windows of ``stream`` (START before each passage)."""
-    if len(stream) <= WINDOW + 1:
+def descend(w: dict[str, np.ndarray], stream: np.ndarray, pairs: np.ndarray, steps: int | None, seed: int, rate: float = 0.02) -> dict[str, np.ndarray]:
+    """Adam on the cross-entropy of the next symbol, over windows of ``stream`` (START before each passage).
+
+    Windows are drawn at random for ``steps`` steps.  Without ``steps`` they lie end to end and
+    each comes once, in random order, so every symbol is learned from.
+    """
+    if not len(stream):
         return w
+    stream = np.append(stream, np.full(max(1, WINDOW + 1 - len(stream)), START))  # a mark is no target
     rng, f = np.random.default_rng(seed), np.float32
     w = {n: x.copy() for n, x in w.items()}
     m, s2 = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
-    age = np.clip(np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :], 0, WINDOW - 1)
-    flat = lambda x: x.reshape(-1, x.shape[-1])
+    age = np.clip(np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :], 0, WINDOW - 1).ravel()
+    end = len(stream) - 1 - WINDOW
+    starts = np.append(np.arange(0, end, WINDOW), end)
+    twice = WINDOW * len(starts) - (len(stream) - 1)  # symbols that the last window shares with the one before
+    order, once = rng.permutation(len(starts)), steps is None
+    steps = -(-len(starts) // PASS_BATCH) if once else steps
     for t in range(1, steps + 1):
-        at = rng.integers(0, len(stream) - WINDOW, BATCH)[:, None] + np.arange(WINDOW)
+        pick = order[(t - 1) * PASS_BATCH : t * PASS_BATCH]
+        at = (starts[pick] if once else rng.integers(0, end + 1, BATCH))[:, None] + np.arange(WINDOW)
         x, y = stream[at], stream[at + 1]
         part = np.cumsum(x == START, axis=1)  # a passage does not look into the one before
-        live = (y != START).astype(f).ravel()
-        e = w["E"][x]
-        q, k, v = e @ w["Q"], e @ w["K"], e @ w["V"]
-        s = q @ k.transpose(0, 2, 1) + _age_bias(w)
-        s[part[:, :, None] != part[:, None, :]] = -1e4
-        a = _attend(s)
-        h = _squash(e @ w["S"] + a @ v)
-        p = np.exp(flat(h) @ w["O"]) * pairs[x.ravel()]
-        p /= p.sum(axis=1, keepdims=True)
-        rows = np.flatnonzero(live)
-        p[rows, y.ravel()[rows]] -= 1
-        dz = p * (live / max(1.0, float(live.sum())))[:, None]
-        g = {"O": flat(h).T @ dz}
-        dh = (dz @ w["O"].T).reshape(h.shape) * (1 - np.abs(h)) ** 2
-        g["S"] = flat(e).T @ flat(dh)
+        live = y != START
+        if once:
+            live[pick == len(starts) - 1, :twice] = False
+        live = live.ravel()
+        tables = np.concatenate([w["E"] @ w[c] for c in "QKVS"], axis=1)
+        q, k, v, e = np.split(tables[x], 4, axis=2)
+        s = q @ k.transpose(0, 2, 1)
+        s += _age_bias(w)
+        if part[:, -1].any():
+            s[part[:, :, None] != part[:, None, :]] = -1e4
+        s -= s.max(axis=2, keepdims=True)
+        a = np.exp(s, out=s)
+        a /= a.sum(axis=2, keepdims=True)
+        h = _squash(e + a @ v)
+        flat = h.reshape(-1, DIM)
+        g, dh = {"O": np.zeros_like(w["O"])}, np.empty_like(flat)
+        weight = live.astype(f) / max(1, np.count_nonzero(live))
+        for low in range(0, len(flat), PIECE):  # pieces that a core's cache holds
+            some = slice(low, low + PIECE)
+            p = flat[some] @ w["O"]
+            np.exp(p, out=p)
+            p *= pairs.take(x.ravel()[some], axis=0)
+            p *= (weight[some] / p.sum(axis=1))[:, None]
+            p[np.arange(len(p)), np.minimum(y.ravel()[some], OUT - 1)] -= weight[some]
+            g["O"] += flat[some].T @ p
+            np.matmul(p, w["O"].T, out=dh[some])
+        dh = dh.reshape(h.shape) * (1 - np.abs(h)) ** 2
         da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
         ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        g["age"] = np.bincount(age.ravel(), weights=ds.sum(axis=0).ravel(), minlength=WINDOW).astype(f)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g["Q"], g["K"], g["V"] = (flat(e).T @ flat(d) for d in (dq, dk, dv))
-        de = dh @ w["S"].T + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-        g["E"] = np.zeros_like(w["E"])
-        np.add.at(g["E"], x.ravel(), flat(de))
+        g["age"] = np.bincount(age, weights=ds.sum(axis=0).ravel(), minlength=WINDOW).astype(f)
+        sent = np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh, dh), axis=2).reshape(-1, 4 * DIM)
+        # summed by symbol, as rows of one symbol lie together
+        by = np.argsort(x.ravel().astype(np.int16), kind="stable")
+        held = x.ravel()[by]
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        dt = np.zeros((OUT + 1, 4 * DIM), f)
+        dt[held[first]] = np.add.reduceat(sent[by], first, axis=0)
+        g["E"] = dt @ np.concatenate([w[c] for c in "QKVS"], axis=1).T
+        for c, d in zip("QKVS", np.split(w["E"].T @ dt, 4, axis=1)):
+            g[c] = d
         slow = rate * min(1.0, 2 * (1 - (t - 1) / steps))
         for n in w:
             m[n] = 0.9 * m[n] + 0.1 * g[n]
@@ -245,9 +270,8 @@ def id_log_probs(model: Model, ids: np.ndarray, offs: np.ndarray, rows: int = 64
     back = WINDOW - STRIDE
     bias = _age_bias(w)[back:]
     place, ahead = np.arange(-back, STRIDE), np.arange(STRIDE)
-    out = np.empty(len(ids), np.float32)
+    hidden = np.empty((len(ids), DIM), np.float32)
     padded = np.concatenate((np.zeros(back, np.int64), x, np.zeros(STRIDE, np.int64)))
-    hit = np.arange(rows * STRIDE)
     for a in range(0, len(first), rows):
         b = min(a + rows, len(first))
         c = padded[first[a:b, None] + (place + back)]
@@ -260,16 +284,24 @@ def id_log_probs(model: Model, ids: np.ndarray, offs: np.ndarray, rows: int = 64
         # the last column of the values is 1, so it holds the sum that softmax divides by
         mixed = s @ ev[c]
         h = _squash(es[asks] + mixed[:, :, :DIM] / mixed[:, :, DIM:]).reshape(-1, DIM)
-        prev, where = asks.ravel(), (first[a:b, None] + ahead).ravel()
+        where = (first[a:b, None] + ahead).ravel()
         if left[b - 1] < STRIDE:
             take = (ahead < left[a:b, None]).ravel()
-            h, prev, where = h[take], prev[take], where[take]
-        z = h @ w["O"]
-        np.exp(z, out=z)
-        share = model.pairs.take(prev, axis=0)
-        now, row = y[where], hit[: len(where)]
-        out[where] = z[row, now] * share[row, now] / np.einsum("ij,ij->i", z, share)
-    return np.log(out, out=out) + model.log_in_symbol[x, fine] + model.log_in_fine[ids]
+            h, where = h[take], where[take]
+        hidden[where] = h
+    # the sum of the softmax: positions of one symbol lie together, so its shares are one vector
+    by = np.argsort(x.astype(np.int16), kind="stable")
+    ends = np.searchsorted(x[by], np.arange(OUT + 2))
+    whole = np.empty(len(ids), np.float32)
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        for a in range(ends[k], ends[k + 1], PIECE):
+            some = by[a : min(a + PIECE, ends[k + 1])]
+            z = hidden[some] @ w["O"]
+            np.exp(z, out=z)
+            whole[some] = z @ model.pairs[k]
+    out = np.einsum("ij,ij->i", hidden, np.ascontiguousarray(w["O"].T)[y])
+    out += np.log(model.pairs[x, y] / whole)
+    return out + model.log_in_symbol[x, fine] + model.log_in_fine[ids]
 
 
 # ---------------------------------------------------------------- corpus passes
@@ -289,38 +321,118 @@ def _lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _training_counts(docs: DataFrame, path: str, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+CODED = "cell int, doc_ids array<bigint>, counts binary, at binary, keys binary, ids binary, sizes binary"
+
+
+def code(docs: DataFrame, path: str, n_cells: int) -> DataFrame:
+    """A row for each cell of ``docs(doc_id, text)``, written once: tokens of each document, places of tokens among the cell's keys, keys with their ids."""
+
+    def run(key, table):
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        buf, offs = C.text_buffer(table.column("text"))
+        tokens = Tokens(buf, offs)
+        keys, at = np.unique(tokens.hashes, return_inverse=True)
+        spelling = Spelling(SubwordIds.shared(path), buf, tokens, at)
+        row = {"cell": key[0].as_py(), "doc_ids": table.column("doc_id").to_pylist(), "counts": _shrunk(tokens.counts, "<i8"), "at": _shrunk(at, "<u4"), "keys": C.pack(keys), "ids": _shrunk(spelling.flat, "<u2"), "sizes": _shrunk(spelling.sizes, "<u4")}
+        return pa.Table.from_pylist([row], schema=_CODED)
+
+    coded = C.cut(C.cells(docs, n_cells).groupBy("cell").applyInArrow(run, CODED))
+    C.release(docs.sparkSession)
+    return coded
+
+
+def _shrunk(x: np.ndarray, kind: str) -> bytes:
+    """Numbers byte plane by byte plane, compressed."""
+    x = x.astype(kind)
+    return len(x).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T), codec="zstd", asbytes=True) if len(x) else bytes(8)
+
+
+def _grown(blob: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(blob[8:], n * size, codec="zstd", asbytes=True) if n else b"", np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1).astype(np.int64)
+
+
+class Coded:
+    """A cell as ``code`` wrote it."""
+
+    def __init__(self, row: dict):
+        self.cell, self.doc_ids, self.keys = row["cell"], row["doc_ids"], C.unpack(row["keys"])
+        self.counts, self.at = _grown(row["counts"], "<i8"), _grown(row["at"], "<u4")
+        self.flat, self.sizes = _grown(row["ids"], "<u2"), _grown(row["sizes"], "<u4")
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.learn = _learnable(np.array([0 if i is None else i for i in self.doc_ids], np.int64))
+        self.token = np.concatenate(([0], np.cumsum(self.counts)))
+
+    @staticmethod
+    def each(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield Coded(batch.slice(k, 1).to_pylist()[0])
+
+    def uses(self) -> np.ndarray:
+        """How often each key stands in training documents."""
+        return np.bincount(self.at, weights=np.repeat(self.learn, self.counts), minlength=len(self.keys)).astype(np.int64)
+
+    def runs(self, limit: int = 1 << 16):
+        """Runs of documents of about ``limit`` tokens: (first, last, ids, offsets of the documents in them)."""
+        i, n = 0, len(self.counts)
+        while i < n:
+            j = min(n, max(i + 1, int(np.searchsorted(self.token, self.token[i] + limit, "right")) - 1))
+            of = self.at[self.token[i] : self.token[j]]
+            sizes = self.sizes[of]
+            done = np.cumsum(sizes)
+            ids = self.flat[np.repeat(self.first[of] - done + sizes, sizes) + np.arange(int(done[-1]))]
+            yield i, j, ids, np.concatenate(([0], done))[self.token[i : j + 1] - self.token[i]]
+            i = j
+
+    def training_runs(self):
+        """(ids, offsets) of training documents only."""
+        for i, j, ids, cuts in self.runs():
+            n = np.diff(cuts)
+            use = self.learn[i:j]
+            if use.any():
+                yield ids[np.repeat(use, n)], np.concatenate(([0], np.cumsum(n[use])))
+
+
+def _summed(coded: DataFrame, count, size: int) -> np.ndarray:
+    """Sum over all cells of the arrays that ``count`` makes of them; a task sends its sum once."""
+
+    def run(batches):
+        total = None
+        for cell in Coded.each(batches):
+            total = count(cell) if total is None else total + count(cell)
+        at = np.flatnonzero(total) if total is not None else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.float64) if len(at) else np.empty(0))], names=["at", "n"])
+
+    few = coded.coalesce(2 * coded.sparkSession.sparkContext.defaultParallelism)
+    got = few.mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most ``size`` rows
+    out = np.zeros(size)
+    out[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def _id_counts(coded: DataFrame, size: int) -> np.ndarray:
+    """Counts of ids over all training documents."""
+    return _summed(coded, lambda c: np.bincount(c.flat, weights=np.repeat(c.uses(), c.sizes), minlength=size), size).astype(np.int64)
+
+
+def _training_counts(docs: DataFrame, path: str, symbols: Symbols, coded: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Counts of ids, and of what is counted after each symbol (START before each document), over all training documents.
 
-    Each task adds up its partitions and sends its sums once; tasks are as many as the
-    cluster runs at a time, so what is shuffled does not grow with the input.
+    What is shuffled and collected does not grow with the input; ``coded`` saves coding ``docs`` again.
     """
-    n_ids, n_pairs = len(symbols.symbol), (OUT + 1) * FINE
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(symbols)
+    coded = code(docs, path, C.parts(C.column_bytes(docs, "text"), C.CELL_BYTES)) if coded is None else coded
+    n_pairs = (OUT + 1) * FINE
+    shared = coded.sparkSession.sparkContext.broadcast(symbols)
 
-    def run(batches):
-        sub, symbols = SubwordIds.shared(path), shared.value
-        counts, pairs = np.zeros(n_ids, np.int64), np.zeros(n_pairs, np.int64)
-        for batch in batches:
-            ok = _learnable(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
-            buf, offs = C.text_buffer(batch.column("text").filter(pa.array(ok)))
-            for _, _, b, o in C.batches(buf, offs, 8 << 20):
-                tokens = Tokens(b, o)
-                _, of = np.unique(tokens.hashes, return_inverse=True)
-                ids, sizes = Spelling(sub, b, tokens, of).ids(of)
-                cuts = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(tokens.counts)))]
-                counts += np.bincount(ids, minlength=n_ids)
-                pairs += np.bincount(pair_codes(symbols, ids, cuts), minlength=n_pairs)
-        both = np.concatenate((counts, pairs))
-        at = np.flatnonzero(both)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(both[at])], names=["at", "n"])
-
-    few = docs.select("doc_id", "text").coalesce(2 * spark.sparkContext.defaultParallelism)
-    got = few.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most n_ids + n_pairs rows
-    both = np.zeros(n_ids + n_pairs, np.int64)
-    both[got.column("at").to_numpy()] = got.column("n").to_numpy()
-    return both[:n_ids], both[n_ids:].reshape(OUT + 1, FINE)
+    def pairs(cell):
+        total = np.zeros(n_pairs, np.int64)
+        for ids, cuts in cell.training_runs():
+            total += np.bincount(pair_codes(shared.value, ids, cuts), minlength=n_pairs)
+        return total
+
+    return _id_counts(coded, len(symbols.symbol)), _summed(coded, pairs, n_pairs).astype(np.int64).reshape(OUT + 1, FINE)
 
 
 def pair_codes(symbols: Symbols, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -360,24 +472,6 @@ def _passages(docs: DataFrame, path: str) -> DataFrame:
     return C.cut(got.withColumn("shard", F.pmod(F.xxhash64("rank"), F.lit(shards)).cast("int")))
 
 
-def _passage_counts(passages: DataFrame, size: int) -> np.ndarray:
-    """Counts of ids in the drawn passages, from which the ids with a symbol of their own are chosen."""
-
-    def run(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(x, "<u2"), minlength=size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
-
-    few = passages.select("ids").coalesce(2 * passages.sparkSession.sparkContext.defaultParallelism)
-    got = few.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most ``size`` rows
-    out = np.zeros(size, np.int64)
-    out[got.column("at").to_numpy()] = got.column("n").to_numpy()
-    return out
-
-
 def _train(passages: DataFrame, symbol: np.ndarray, pairs: np.ndarray) -> dict[str, np.ndarray]:
     """Rounds of descent in every shard from common weights, and of averaging the shards' weights."""
     w = first_weights()
@@ -407,14 +501,36 @@ def _shard_round(shared, turn: int):
     return run
 
 
-def fit(docs: DataFrame, path: str) -> Model:
-    """Counts over all training documents, and a layer trained on passages drawn from them."""
+def _pass_over_all(coded: DataFrame, symbol: np.ndarray, pairs: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Each cell descends from ``w`` once over all its training documents; the mean by number of symbols."""
+    names = sorted(w)
+    size = sum(w[n].size for n in names)
+    shared = coded.sparkSession.sparkContext.broadcast((w, symbol, pairs))
+
+    def descent(cell):
+        w, symbol, pairs = shared.value
+        parts = [np.insert(symbol[ids], cuts[:-1], START) for ids, cuts in cell.training_runs()]
+        if not parts:
+            return np.zeros(size + 1)
+        stream = np.concatenate(parts)
+        new = descend(w, stream, pairs, None, cell.cell, PASS_RATE)
+        return np.append(np.concatenate([new[n].ravel() for n in names]).astype(np.float64), 1) * len(stream)
+
+    sums = _summed(coded, descent, size + 1)
+    if not sums[-1]:
+        return w
+    parts = np.split((sums[:-1] / sums[-1]).astype(np.float32), np.cumsum([w[n].size for n in names])[:-1])
+    return {n: x.reshape(w[n].shape) for n, x in zip(names, parts)}
+
+
+def fit(docs: DataFrame, path: str, coded: DataFrame) -> Model:
+    """Counts, and a layer that has gone over every training document."""
     sub = SubwordIds.shared(path)
-    passages = _passages(docs, path)
-    symbols = choose_symbols(_passage_counts(passages, sub.size), sub.spaced, sub.end)
-    counts, pair_counts = _training_counts(docs, path, symbols)
+    symbols = choose_symbols(_id_counts(coded, sub.size), sub.spaced, sub.end)
+    counts, pair_counts = _training_counts(docs, path, symbols, coded)
     untrained = assemble(symbols, counts, pair_counts, first_weights())
-    return replace(untrained, weights=_train(passages, symbols.symbol, untrained.pairs))
+    w = _train(_passages(docs, path), symbols.symbol, untrained.pairs)
+    return replace(untrained, weights=_pass_over_all(coded, symbols.symbol, untrained.pairs, w))
 
 
 def assemble(symbols: Symbols, counts: np.ndarray, pair_counts: np.ndarray, weights: dict[str, np.ndarray]) -> Model:
@@ -462,13 +578,6 @@ class Spelling:
             blobs[k] = sub.end_bytes
         self.flat = np.frombuffer(b"".join(blobs), "<u2").astype(np.int64)
         self.sizes = np.array([len(x) // 2 for x in blobs], np.int64)
-        self.first = np.cumsum(self.sizes) - self.sizes
-
-    def ids(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some tokens, one after the other, and how many each has."""
-        sizes = self.sizes[of]
-        done = np.cumsum(sizes)
-        return self.flat[np.repeat(self.first[of] - done + sizes, sizes) + np.arange(int(done[-1]) if len(done) else 0)], sizes
 
 
 def score_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -482,23 +591,19 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     path = tokenizer or tokenizer_file("byte_bpe_50k.tiktoken")
     C.bound_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    model = plain.sparkSession.sparkContext.broadcast(fit(plain, path))
     total = C.column_bytes(plain, "text")
-    n_cells, n_buckets = C.parts(total, C.CELL_BYTES), C.parts(total, C.BUCKET_BYTES)
-    dealt = C.cells(plain, n_cells)
+    n_buckets = C.parts(total, C.BUCKET_BYTES)
+    coded = code(plain, path, C.parts(total, C.CELL_BYTES))
+    model = plain.sparkSession.sparkContext.broadcast(fit(plain, path, coded))
 
-    def send(key, table):
+    def send(batches):
         """A cell's distinct tokens with their counts in its training documents."""
-        tokens = Tokens(*C.text_buffer(table.column("text")))
-        use = np.repeat(_learnable(table.column("doc_id").fill_null(0).to_numpy()), tokens.counts)
-        keys, at = np.unique(tokens.hashes, return_inverse=True)
-        counts = np.bincount(at, weights=use, minlength=len(keys)).astype("<i8")
-        cell, rows = key[0].as_py(), []
-        done = 0
-        for b, part in C.split_by_bucket(keys, n_buckets):
-            rows.append({"cell": cell, "bucket": b, "keys": C.pack(part), "counts": zlib.compress(counts[done : done + len(part)].tobytes(), 1)})
-            done += len(part)
-        return pa.Table.from_pylist(rows, schema=_COUNTS)
+        for cell in Coded.each(batches):
+            counts, rows, done = cell.uses().astype("<i8"), [], 0
+            for b, part in C.split_by_bucket(cell.keys, n_buckets):
+                rows.append({"cell": cell.cell, "bucket": b, "keys": C.pack(part), "counts": zlib.compress(counts[done : done + len(part)].tobytes(), 1)})
+                done += len(part)
+            yield from pa.Table.from_pylist(rows, schema=_COUNTS).to_batches()
 
     def merge(key, table):
         """Counts over all cells, back to each cell in the order in which it asked."""
@@ -519,30 +624,22 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     def finish(key, table, back):
         if not table.num_rows:
             return _OUT.empty_table()
-        sub, m = SubwordIds.shared(path), model.value
-        buf, offs = C.text_buffer(table.column("text"))
-        tokens = Tokens(buf, offs)
-        n = tokens.counts
-        _, at = np.unique(tokens.hashes, return_inverse=True)
-        spelling = Spelling(sub, buf, tokens, at)
+        m, cell = model.value, Coded(table.to_pylist()[0])
         back = back.sort_by("bucket")
         counts = np.concatenate([np.frombuffer(zlib.decompress(x), "<i8") for x in back.column("counts").to_pylist()])
-        owner = np.repeat(np.arange(table.num_rows), n)
-        known = np.bincount(owner, weights=(counts > 0)[at], minlength=table.num_rows).astype(np.int64)
-        logs = np.bincount(owner, weights=np.log10(counts + 1.0)[at], minlength=table.num_rows)
-        scores = np.empty(table.num_rows)
-        token = np.concatenate(([0], np.cumsum(n)))
-        for i, j, _, _ in C.batches(buf, offs, 1 << 18):
-            ids, sizes = spelling.ids(at[token[i] : token[j]])
-            cuts = np.concatenate(([0], np.cumsum(sizes)))[token[i : j + 1] - token[i]]
+        rows = len(cell.counts)
+        owner = np.repeat(np.arange(rows), cell.counts)
+        known = np.bincount(owner, weights=(counts > 0)[cell.at], minlength=rows).astype(np.int64)
+        logs = np.bincount(owner, weights=np.log10(counts + 1.0)[cell.at], minlength=rows)
+        scores = np.empty(rows)
+        for i, j, ids, cuts in cell.runs():
             scores[i:j] = np.round(np.add.reduceat(id_log_probs(m, ids, cuts).astype(np.float64), cuts[:-1]) / np.log(10), 4)
-        ids = table.column("doc_id")
-        out = {"doc_id": ids, "held_out": ~_learnable(ids.fill_null(0).to_numpy()), "n_tokens": n, "n_known": known, "log_counts": logs, "score": scores}
+        out = {"doc_id": pa.array(cell.doc_ids, pa.int64()), "held_out": ~cell.learn, "n_tokens": cell.counts, "n_known": known, "log_counts": logs, "score": scores}
         return pa.table(out, schema=_OUT)
 
-    asked = dealt.groupBy("cell").applyInArrow(send, "cell int, bucket int, keys binary, counts binary")
+    asked = coded.mapInArrow(send, "cell int, bucket int, keys binary, counts binary")
     answered = asked.groupBy("bucket").applyInArrow(merge, "cell int, bucket int, counts binary, tokens long, types long")
-    scored = dealt.groupBy("cell").cogroup(answered.select("cell", "bucket", "counts").groupBy("cell")).applyInArrow(finish, SCHEMA)
+    scored = coded.groupBy("cell").cogroup(answered.select("cell", "bucket", "counts").groupBy("cell")).applyInArrow(finish, SCHEMA)
     size = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v"))
     tokens, types = size.select("n").scalar(), size.select("v").scalar()
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", tokens.alias("train_tokens"), "log_counts", types.alias("_v"), "score").select(

@@ -515,6 +515,41 @@ def test_op6_passages_come_from_many_documents_and_grow(spark, monkeypatch):
     assert max(map(len, many)) <= attention_lm.PASSAGE
 
 
+def test_op6_a_pass_meets_every_symbol_once(monkeypatch):
+    """With tables of pairs that tell nothing, the first step's gradient is that of all targets, each once."""
+    seen = []
+    monkeypatch.setattr(attention_lm.np, "count_nonzero", lambda x, real=np.count_nonzero: seen.append(int(real(x))) or real(x))
+    pairs = np.full((attention_lm.OUT + 1, attention_lm.OUT), 1 / attention_lm.OUT, np.float32)
+    for n in (1, 5, attention_lm.WINDOW, attention_lm.WINDOW + 1, 1000, 20_000):
+        seen.clear()
+        stream = np.concatenate(([attention_lm.START], np.random.default_rng(n).integers(0, 50, n)))
+        w = attention_lm.descend(attention_lm.first_weights(), stream, pairs, None, seed=1)
+        assert sum(seen) == n and not np.array_equal(w["O"], attention_lm.first_weights()["O"])
+
+
+def test_op6_layer_and_symbols_learn_from_every_training_document(spark, monkeypatch):
+    """Words of the documents that no drawn passage holds have symbols, and the layer has seen them."""
+    monkeypatch.setattr(attention_lm, "STEPS", 20)
+    monkeypatch.setattr(attention_lm, "LEAST_PASSAGES", 1)
+    words = vocabulary(21)
+    docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices(words, k=400))) for i in range(60)], "doc_id long, text string")
+    streams, real = [], attention_lm._summed
+    coded = attention_lm.code(docs, LM_PATH, 3)
+    symbols = attention_lm.choose_symbols(attention_lm._id_counts(coded, attention_lm.SubwordIds.shared(LM_PATH).size), *(lambda s: (s.spaced, s.end))(attention_lm.SubwordIds.shared(LM_PATH)))
+    monkeypatch.setattr(attention_lm, "_summed", lambda coded, f, size: streams.append(real(coded, f, size)) or streams[-1])
+    pairs = np.full((attention_lm.OUT + 1, attention_lm.OUT), 1 / attention_lm.OUT, np.float32)
+    start = attention_lm.first_weights()
+    w = attention_lm._pass_over_all(coded, symbols.symbol, pairs, start)
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert streams[0][-1] == sum(len(lm_ids(rows[i])) + 1 for i in learned)  # every id and a mark a document
+    assert all(not np.array_equal(w[n], start[n]) for n in w)
+    m = attention_lm.fit(docs, LM_PATH, coded)
+    counts = np.bincount(np.concatenate([lm_ids(rows[i]) for i in learned]), minlength=len(m.symbols.symbol))
+    want = attention_lm.choose_symbols(counts, attention_lm.SubwordIds.shared(LM_PATH).spaced, attention_lm.SubwordIds.shared(LM_PATH).end)
+    assert np.array_equal(m.symbols.symbol, want.symbol) and np.array_equal(m.symbols.fine, want.fine)
+
+
 def test_op6_awkward_rows(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "STEPS", 20)
     words = vocabulary(15)
