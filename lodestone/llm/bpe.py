@@ -17,8 +17,9 @@ import regex
 #: Letters whose NFC form is themselves and whose lower case is one simple mapping.
 _SPECIAL = re.compile(r"[^\x09-\x0D\x20-\x7E¡-įĲ-ɏ]|<\|")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Words in a worker's table before it starts anew.
-MAX_WORDS = 1_200_000
+#: Words in a worker's table before it starts anew.  Workers outlive a stage and keep the
+#: table, about 140 bytes a word and more while it grows, so twice as many do not fit an executor with other stages.
+MAX_WORDS = 600_000
 
 
 def tokenizer_file(name: str) -> str:

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import time
 import zlib
 
@@ -381,6 +382,17 @@ def test_packer_routes_to_tiers():
     assert packing.pack([]) == [] and packing.pack([1]) == [[(0, 0, 1)]]
 
 
+def test_packing_words_of_a_worker_are_bounded_in_bytes():
+    """A full table takes at most 160 MB, and texts are encoded alike after it starts anew."""
+    words = [f"{a}{b}{'.' * (k % 2)}" for k, (a, b) in enumerate(zip(vocabulary(31) * 40, random.Random(31).choices(vocabulary(32), k=12_000)))]
+    bpe_ = bpe.CachedBPE(bpe.tokenizer_file("word_bpe_49k.json"))
+    first = bpe_.encode(" ".join(words))
+    held = sys.getsizeof(bpe_.words) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in bpe_.words.items())
+    assert held / len(bpe_.words) * bpe.MAX_WORDS < 160e6
+    bpe_.words.clear()
+    assert bpe_.encode(" ".join(words)) == first
+
+
 def test_op6_base_counts(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "STEPS", 20)
     df = frame(spark)
