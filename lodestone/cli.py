@@ -37,7 +37,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     parsed = html.parse_pages(raw).join(raw.select(F.col("url").alias("source_url"), "fetched_at").dropDuplicates(["source_url"]), "source_url")
     placed, _ = number_rows(parsed, ["source_url"], "ord")
     docs = corpus.dedup_documents(placed.drop("content_hash"), a.min_words, a.keep_duplicates)
-    files.write_jsonl(docs.drop("canon"), f"{a.corpus}/documents")
+    files.write_jsonl(docs.drop("canon", "title_markup"), f"{a.corpus}/documents")
     return 0
 
 
