@@ -393,6 +393,29 @@ def test_packing_words_of_a_worker_are_bounded_in_bytes():
     assert bpe_.encode(" ".join(words)) == first
 
 
+def test_packing_encodes_new_words_together():
+    """One call of the library for up to AT_ONCE new words, with the ids that each text has alone."""
+    path = bpe.tokenizer_file("word_bpe_49k.json")
+    values = [t for t in texts() if t] + [" ".join(vocabulary(33)), "it's 'sfoo !'s 12a—b x'll'd ªº ß.", " ".join(f"{a}{b}" for a in vocabulary(34)[:70] for b in vocabulary(35)[:70])]
+    bpe_, calls = bpe.CachedBPE(path), []
+    library = bpe_.tokenizer
+
+    class Counted:
+        encode = library.encode
+
+        def __getattr__(self, name):
+            return lambda x, **k: calls.append(len(x)) or getattr(library, name)(x, **k)
+
+    bpe_.tokenizer = Counted()
+    for t in values:
+        calls.clear()
+        assert bpe_.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
+        assert sum(calls) <= 1 + len(t.split()) // 4096
+    bpe_.ends[:] = False  # a vocabulary that does not mark the ends of words
+    bpe_.words.clear()
+    assert all(bpe_.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in values)
+
+
 def test_op6_base_counts(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "STEPS", 20)
     df = frame(spark)
