@@ -187,10 +187,17 @@ def descend(w: dict[str, np.ndarray], stream: np.ndarray, pairs: np.ndarray, ste
     if not len(stream):
         return w
     stream = np.append(stream, np.full(max(1, WINDOW + 1 - len(stream)), START))  # a mark is no target
+    stream = stream.astype(np.int64)
     rng, f = np.random.default_rng(seed), np.float32
-    w = {n: x.copy() for n, x in w.items()}
-    m, s2 = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
-    age = np.clip(np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :], 0, WINDOW - 1).ravel()
+    # weights, gradients and moments are parts of one vector each, so a step of Adam is a few calls
+    held = np.concatenate([w[n].ravel() for n in sorted(w)]).astype(f)
+    shapes = {n: w[n].shape for n in sorted(w)}
+    grad, m, s2 = (np.zeros_like(held) for _ in range(3))
+    w, g = _parts(held, shapes), _parts(grad, shapes)
+    d = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
+    age, causal = np.clip(d, 0, WINDOW - 1), (d >= 0).astype(f)
+    ones, columns = np.ones(OUT, f), np.arange(DIM)
+    p_of, shares = np.empty((PIECE, OUT), f), np.empty((PIECE, OUT), f)
     end = len(stream) - 1 - WINDOW
     starts = np.append(np.arange(0, end, WINDOW), end)
     twice = WINDOW * len(starts) - (len(stream) - 1)  # symbols that the last window shares with the one before
@@ -200,56 +207,64 @@ def descend(w: dict[str, np.ndarray], stream: np.ndarray, pairs: np.ndarray, ste
         pick = order[(t - 1) * PASS_BATCH : t * PASS_BATCH]
         at = (starts[pick] if once else rng.integers(0, end + 1, BATCH))[:, None] + np.arange(WINDOW)
         x, y = stream[at], stream[at + 1]
-        part = np.cumsum(x == START, axis=1)  # a passage does not look into the one before
         live = y != START
         if once:
             live[pick == len(starts) - 1, :twice] = False
-        live = live.ravel()
-        tables = np.concatenate([w["E"] @ w[c] for c in "QKVS"], axis=1)
-        q, k, v, e = np.split(tables[x], 4, axis=2)
-        s = q @ k.transpose(0, 2, 1)
-        s += _age_bias(w)
-        if part[:, -1].any():
-            s[part[:, :, None] != part[:, None, :]] = -1e4
-        s -= s.max(axis=2, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(axis=2, keepdims=True)
-        h = _squash(e + a @ v)
-        flat = h.reshape(-1, DIM)
-        g, dh = {"O": np.zeros_like(w["O"])}, np.empty_like(flat)
-        weight = live.astype(f) / max(1, np.count_nonzero(live))
+        asked, target, live = x.ravel(), np.minimum(y, OUT - 1).ravel(), live.ravel()
+        square = np.concatenate([w[c] for c in "QKVS"], axis=1)
+        tables = (w["E"] @ square).take(asked, axis=0).reshape(*x.shape, 4 * DIM)
+        q, k, v, e = (tables[:, :, i : i + DIM] for i in range(0, 4 * DIM, DIM))
+        a = q @ k.transpose(0, 2, 1)
+        a += w["age"][age]
+        np.clip(a, -60, 80, out=a)
+        np.exp(a, out=a)
+        a *= causal
+        if len(cut := np.flatnonzero((x[:, 1:] == START).any(axis=1))):
+            part = np.cumsum(x[cut] == START, axis=1)  # a passage does not look into the one before
+            a[cut] *= part[:, :, None] == part[:, None, :]
+        a /= (a @ ones[:WINDOW])[:, :, None]
+        mixed = a @ v
+        h = _squash(e + mixed)
+        flat, dh = h.reshape(-1, DIM), np.empty((h.size // DIM, DIM), f)
+        weight = live.astype(f) / f(max(1, np.count_nonzero(live)))  # a wider number would widen all products
+        back, out = np.ascontiguousarray(w["O"].T), np.zeros((OUT, DIM), f)
         for low in range(0, len(flat), PIECE):  # pieces that a core's cache holds
             some = slice(low, low + PIECE)
-            p = flat[some] @ w["O"]
+            hidden = flat[some]
+            p, share = p_of[: len(hidden)], shares[: len(hidden)]
+            np.matmul(hidden, w["O"], out=p)
             np.exp(p, out=p)
-            p *= pairs.take(x.ravel()[some], axis=0)
-            p *= (weight[some] / p.sum(axis=1))[:, None]
-            p[np.arange(len(p)), np.minimum(y.ravel()[some], OUT - 1)] -= weight[some]
-            g["O"] += flat[some].T @ p
-            np.matmul(p, w["O"].T, out=dh[some])
+            p *= pairs.take(asked[some], axis=0, out=share, mode="clip")
+            whole = p @ ones
+            p[np.arange(len(p)), target[some]] -= whole
+            scale = (weight[some] / whole)[:, None]  # rows of p stay unscaled, what they are multiplied with is shorter
+            out += p.T @ (hidden * scale)
+            np.multiply(p @ back, scale, out=dh[some])
+        g["O"][:] = out.T
         dh = dh.reshape(h.shape) * (1 - np.abs(h)) ** 2
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        g["age"] = np.bincount(age, weights=ds.sum(axis=0).ravel(), minlength=WINDOW).astype(f)
+        ds = dh @ v.transpose(0, 2, 1)
+        ds -= np.einsum("ijk,ijk->ij", dh, mixed)[:, :, None]
+        ds *= a
+        g["age"][:] = np.bincount(age.ravel(), weights=ds.sum(axis=0).ravel(), minlength=WINDOW)
         sent = np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh, dh), axis=2).reshape(-1, 4 * DIM)
-        # summed by symbol, as rows of one symbol lie together
-        by = np.argsort(x.ravel().astype(np.int16), kind="stable")
-        held = x.ravel()[by]
-        first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
-        dt = np.zeros((OUT + 1, 4 * DIM), f)
-        dt[held[first]] = np.add.reduceat(sent[by], first, axis=0)
-        g["E"] = dt @ np.concatenate([w[c] for c in "QKVS"], axis=1).T
-        for c, d in zip("QKVS", np.split(w["E"].T @ dt, 4, axis=1)):
-            g[c] = d
+        for c, part in zip("QKVS", np.split(w["E"].take(asked, axis=0).T @ sent, 4, axis=1)):
+            g[c][:] = part
+        places = (asked * DIM)[:, None] + columns
+        g["E"][:] = np.bincount(places.ravel(), weights=(sent @ square.T).ravel(), minlength=g["E"].size).reshape(g["E"].shape)
         slow = rate * min(1.0, 2 * (1 - (t - 1) / steps))
-        for n in w:
-            m[n] = 0.9 * m[n] + 0.1 * g[n]
-            s2[n] = 0.99 * s2[n] + 0.01 * g[n] ** 2
-            w[n] = (w[n] - slow * (m[n] / (1 - 0.9**t)) / (np.sqrt(s2[n] / (1 - 0.99**t)) + 1e-8)).astype(f)
+        m += 0.1 * (grad - m)
+        s2 += 0.01 * (grad * grad - s2)
+        held -= f(slow / (1 - 0.9**t)) * m / (np.sqrt(s2 / f(1 - 0.99**t)) + f(1e-8))
         np.clip(w["O"], -3, 3, out=w["O"])  # |h| < 1, so logits stay where float32 exponentials are finite
     return w
 
 
+def _parts(flat: np.ndarray, shapes: dict[str, tuple[int, ...]]) -> dict[str, np.ndarray]:
+    """Arrays of the given shapes that lie in ``flat`` one after the other."""
+    cuts = np.cumsum([int(np.prod(x)) for x in shapes.values()])
+    return {n: part.reshape(x) for (n, x), part in zip(shapes.items(), np.split(flat, cuts[:-1]))}
+
+
 def id_log_probs(model: Model, ids: np.ndarray, offs: np.ndarray, rows: int = 64) -> np.ndarray:
     """Natural log probability of every id of documents with offsets ``offs``, each from its own document alone."""
     n = np.diff(offs)
@@ -274,16 +289,16 @@ def id_log_probs(model: Model, ids: np.ndarray, offs: np.ndarray, rows: int = 64
     padded = np.concatenate((np.zeros(back, np.int64), x, np.zeros(STRIDE, np.int64)))
     for a in range(0, len(first), rows):
         b = min(a + rows, len(first))
-        c = padded[first[a:b, None] + (place + back)]
-        asks = c[:, back:]
-        s = eq[asks] @ ek[c].transpose(0, 2, 1)
+        c = padded.take(first[a:b, None] + (place + back))
+        asks = np.ascontiguousarray(c[:, back:])
+        s = eq.take(asks, axis=0) @ ek.take(c, axis=0).transpose(0, 2, 1)
         s += bias
         s[opening[a:b], :, :back] = -1e4  # nothing stands before a document
         np.minimum(s, 80, out=s)
         np.exp(s, out=s)
         # the last column of the values is 1, so it holds the sum that softmax divides by
-        mixed = s @ ev[c]
-        h = _squash(es[asks] + mixed[:, :, :DIM] / mixed[:, :, DIM:]).reshape(-1, DIM)
+        mixed = s @ ev.take(c, axis=0)
+        h = _squash(es.take(asks, axis=0) + mixed[:, :, :DIM] / mixed[:, :, DIM:]).reshape(-1, DIM)
         where = (first[a:b, None] + ahead).ravel()
         if left[b - 1] < STRIDE:
             take = (ahead < left[a:b, None]).ravel()
@@ -292,11 +307,11 @@ def id_log_probs(model: Model, ids: np.ndarray, offs: np.ndarray, rows: int = 64
     # the sum of the softmax: positions of one symbol lie together, so its shares are one vector
     by = np.argsort(x.astype(np.int16), kind="stable")
     ends = np.searchsorted(x[by], np.arange(OUT + 2))
-    whole = np.empty(len(ids), np.float32)
+    whole, held = np.empty(len(ids), np.float32), np.empty((PIECE, OUT), np.float32)
     for k in np.flatnonzero(np.diff(ends)).tolist():
         for a in range(ends[k], ends[k + 1], PIECE):
             some = by[a : min(a + PIECE, ends[k + 1])]
-            z = hidden[some] @ w["O"]
+            z = np.matmul(hidden.take(some, axis=0), w["O"], out=held[: len(some)])
             np.exp(z, out=z)
             whole[some] = z @ model.pairs[k]
     out = np.einsum("ij,ij->i", hidden, np.ascontiguousarray(w["O"].T)[y])
@@ -417,10 +432,11 @@ def _id_counts(coded: DataFrame, size: int) -> np.ndarray:
     return _summed(coded, lambda c: np.bincount(c.flat, weights=np.repeat(c.uses(), c.sizes), minlength=size), size).astype(np.int64)
 
 
-def _training_counts(docs: DataFrame, path: str, symbols: Symbols, coded: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _training_counts(docs: DataFrame, path: str, symbols: Symbols, coded: DataFrame | None = None, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Counts of ids, and of what is counted after each symbol (START before each document), over all training documents.
 
-    What is shuffled and collected does not grow with the input; ``coded`` saves coding ``docs`` again.
+    What is shuffled and collected does not grow with the input; ``coded`` saves coding ``docs``
+    again, and ``counts``, if the ids' are known, counting them.
     """
     coded = code(docs, path, C.parts(C.column_bytes(docs, "text"), C.CELL_BYTES)) if coded is None else coded
     n_pairs = (OUT + 1) * FINE
@@ -432,7 +448,8 @@ def _training_counts(docs: DataFrame, path: str, symbols: Symbols, coded: DataFr
             total += np.bincount(pair_codes(shared.value, ids, cuts), minlength=n_pairs)
         return total
 
-    return _id_counts(coded, len(symbols.symbol)), _summed(coded, pairs, n_pairs).astype(np.int64).reshape(OUT + 1, FINE)
+    counts = _id_counts(coded, len(symbols.symbol)) if counts is None else counts
+    return counts, _summed(coded, pairs, n_pairs).astype(np.int64).reshape(OUT + 1, FINE)
 
 
 def pair_codes(symbols: Symbols, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -526,8 +543,9 @@ def _pass_over_all(coded: DataFrame, symbol: np.ndarray, pairs: np.ndarray, w: d
 def fit(docs: DataFrame, path: str, coded: DataFrame) -> Model:
     """Counts, and a layer that has gone over every training document."""
     sub = SubwordIds.shared(path)
-    symbols = choose_symbols(_id_counts(coded, sub.size), sub.spaced, sub.end)
-    counts, pair_counts = _training_counts(docs, path, symbols, coded)
+    counts = _id_counts(coded, sub.size)
+    symbols = choose_symbols(counts, sub.spaced, sub.end)
+    counts, pair_counts = _training_counts(docs, path, symbols, coded, counts)
     untrained = assemble(symbols, counts, pair_counts, first_weights())
     w = _train(_passages(docs, path), symbols.symbol, untrained.pairs)
     return replace(untrained, weights=_pass_over_all(coded, symbols.symbol, untrained.pairs, w))

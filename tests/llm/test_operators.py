@@ -585,6 +585,61 @@ def test_op6_layer_and_symbols_learn_from_every_training_document(spark, monkeyp
     assert np.array_equal(m.symbols.symbol, want.symbol) and np.array_equal(m.symbols.fine, want.fine)
 
 
+def test_op6_reads_the_cells_three_times_to_learn(spark, monkeypatch):
+    """For ids, for pairs and for the layer; ids are not counted again with the pairs."""
+    monkeypatch.setattr(attention_lm, "STEPS", 20)
+    docs = spark.createDataFrame([(i, " ".join(vocabulary(22)[i : i + 50])) for i in range(40)], "doc_id long, text string")
+    coded, calls, real = attention_lm.code(docs, LM_PATH, 3), [], attention_lm._summed
+    monkeypatch.setattr(attention_lm, "_summed", lambda *a: calls.append(a[2]) or real(*a))
+    attention_lm.fit(docs, LM_PATH, coded)
+    assert len(calls) == 3
+
+
+def test_op6_a_step_goes_against_the_slope():
+    """Of the loss by definition, for weights of every kind, also where a document starts within a window."""
+    A, rng = attention_lm, np.random.default_rng(9)
+    stream = rng.integers(0, 40, 6 * A.WINDOW + 1)
+    stream[[0, 30, 31 + A.WINDOW, 100]] = A.START
+    pairs = rng.random((A.OUT + 1, A.OUT)).astype(np.float32)
+    pairs /= pairs.sum(axis=1, keepdims=True)
+    w = A.first_weights()
+    w["O"] = rng.normal(0, 0.5, w["O"].shape).astype(np.float32)
+    last = len(stream) - 1 - A.WINDOW
+
+    def loss(w):
+        total = 0.0
+        for a in range(0, last + 1, A.WINDOW):
+            for i in range(a, a + A.WINDOW):
+                if stream[i + 1] == A.START:
+                    continue
+                low = max([a, *(k for k in range(a, i + 1) if stream[k] == A.START)])
+                e = w["E"][stream[low : i + 1]]
+                s = (e @ w["K"]) @ (e[-1] @ w["Q"]) + w["age"][np.arange(len(e))[::-1]]
+                u = e[-1] @ w["S"] + (np.exp(s) / np.exp(s).sum()) @ (e @ w["V"])
+                z = np.log(pairs[stream[i]].astype(float)) + (u / (1 + abs(u))) @ w["O"]
+                total += np.log(np.exp(z).sum()) - z[stream[i + 1]]
+        return total / np.count_nonzero(stream[1:] != A.START)
+
+    new = A.descend(w, stream, pairs, None, seed=1, rate=0.01)
+    wide = {n: x.astype(float) for n, x in w.items()}
+    for n, x in wide.items():
+        tried = 0
+        for at in rng.permutation(x.size)[:200].tolist():
+            at = np.unravel_index(at, x.shape)
+            was, sides = x[at], []
+            for h in (1e-4, -1e-4):
+                x[at] = was + h
+                sides.append(loss(wide))
+            x[at] = was
+            slope = (sides[0] - sides[1]) / 2e-4
+            if abs(slope) > 1e-5:
+                tried += 1
+                assert (new[n][at] - w[n][at]) * slope < 0, (n, at, slope)
+            if tried == 8:
+                break
+        assert tried == 8, n
+
+
 def test_op6_awkward_rows(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "STEPS", 20)
     words = vocabulary(15)
