@@ -8,7 +8,6 @@ lower-casing, and texts that may hold special-token strings (``<|``), go through
 
 from __future__ import annotations
 
-import json
 import os
 import re
 
@@ -48,7 +47,7 @@ class CachedBPE:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.words: dict[str, bytes] = {}
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(False).items() if suffix and t.endswith(suffix)]] = True
 
