@@ -13,7 +13,10 @@ carry therefore costs one entry per cell, never one per document.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
+import inspect
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -65,6 +68,43 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(value))
 
 
+def give_back() -> None:
+    """Return freed memory, which Arrow and the C library else keep for later, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has this
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: Bytes of a group after which freed memory is given back; for many small ones that would cost more than they leave.
+LARGE_GROUP = 1 << 18
+
+
+def tidy(work):
+    """``work`` for mapInArrow or applyInArrow, and freed memory given back when it has ended.
+
+    Workers outlive a stage, so what each stage's largest batch took would else stay with
+    the executor through all later ones.
+    """
+
+    def stream(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    def call(*tables):
+        try:
+            return work(*tables)
+        finally:
+            if sum(getattr(t, "nbytes", 0) for t in tables) >= LARGE_GROUP:
+                give_back()
+
+    if inspect.isgeneratorfunction(work):
+        return stream
+    # Spark tells from the number of arguments whether the key is wanted
+    return {1: lambda a: call(a), 2: lambda a, b: call(a, b), 3: lambda a, b, c: call(a, b, c)}[work.__code__.co_argcount]
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, with underscores in front until no column is called so."""
     taken = {c.lower() for c in columns}
@@ -112,7 +152,7 @@ def shared_keys(sent: DataFrame) -> DataFrame:
                 out.append(pack(hit))
         return pa.table({"cell": pa.array(out_cells, pa.int32()), "keys": pa.array(out, pa.binary())})
 
-    return sent.groupBy("bucket").applyInArrow(answer, "cell int, keys binary")
+    return sent.groupBy("bucket").applyInArrow(tidy(answer), "cell int, keys binary")
 
 
 def send(cell: int, keys: np.ndarray, n_buckets: int) -> pa.Table:

@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Self-loops and repeated edges do no harm; no edges give no rows.
     """
-    now = C.cut(edges.where("a <> b").mapInArrow(_forest, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    now = C.cut(edges.where("a <> b").mapInArrow(C.tidy(_forest), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     for _ in range(MAX_ROUNDS):
         if _settled(now):
             break

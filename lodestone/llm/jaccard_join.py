@@ -231,7 +231,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     def check(key, left, right):
         return _check_tile(left, right, threshold)
 
-    return tiled.groupBy("tile").cogroup(brought.groupBy("spot")).applyInArrow(check, "a long, b long")
+    return tiled.groupBy("tile").cogroup(brought.groupBy("spot")).applyInArrow(C.tidy(check), "a long, b long")
 
 
 def _check_tile(pairs: pa.Table, sets: pa.Table, threshold: int) -> pa.Table:
@@ -329,10 +329,10 @@ def _candidate_sets(docs: DataFrame, threshold: int, shingle: int, n_cells: int,
         return pa.table(out, schema=_SETS_ARROW)
 
     sent = "cell int, bucket int, keys binary"
-    back = C.shared_keys(dealt.groupBy("cell").applyInArrow(look_up, sent)).withColumn("level", F.lit(0))
-    more = C.shared_keys(dealt.groupBy("cell").cogroup(back.groupBy("cell")).applyInArrow(ask, sent)).withColumn("level", F.lit(1))
+    back = C.shared_keys(dealt.groupBy("cell").applyInArrow(C.tidy(look_up), sent)).withColumn("level", F.lit(0))
+    more = C.shared_keys(dealt.groupBy("cell").cogroup(back.groupBy("cell")).applyInArrow(C.tidy(ask), sent)).withColumn("level", F.lit(1))
     answers = back.unionByName(more)
-    return C.cut(dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(answer, _SETS))
+    return C.cut(dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(C.tidy(answer), _SETS))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -370,7 +370,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, shingle: int = 5, id_c
     open_keys = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     block_rows = keyed.join(open_keys, "key").join(labelled.select("doc_id", "n_shingles", "points"), "doc_id")
     bucketed = block_rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets)))
-    candidates = bucketed.groupBy("bucket").applyInArrow(lambda table: _block_pairs(table, threshold), "a long, b long").distinct()
+    candidates = bucketed.groupBy("bucket").applyInArrow(C.tidy(lambda table: _block_pairs(table, threshold)), "a long, b long").distinct()
     links = _verify(candidates, sets, threshold)
     edges = C.cut(seeds.union(links).union(same.select("a", "b")))
     final = connected_components(edges)
@@ -394,7 +394,7 @@ def _without_id(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> Da
             yield pa.RecordBatch.from_arrays([none, n, none], names=["doc_id", "n_shingles", "component_id"])
 
     rows = docs.where(F.col(id_col).isNull()).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, component_id long")
+    return rows.mapInArrow(C.tidy(run), "doc_id long, n_shingles long, component_id long")
 
 
 def _level(back: pa.Table, level: int) -> pa.Table:

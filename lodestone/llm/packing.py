@@ -133,8 +133,8 @@ def pack_documents(docs: DataFrame, window: int = 2048, tokenizer: str | None =
                 offset += n
         return pa.table([list(c) for c in zip(*rows)] if rows else [[]] * len(_ARROW), schema=_ARROW)
 
-    ids = dealt.mapInArrow(tokenize, "cell int, doc_id long, ids binary")
-    return ids.groupBy("cell").applyInArrow(run, SCHEMA)
+    ids = dealt.mapInArrow(C.tidy(tokenize), "cell int, doc_id long, ids binary")
+    return ids.groupBy("cell").applyInArrow(C.tidy(run), SCHEMA)
 
 
 def balance(used: np.ndarray, tiers: np.ndarray, step_tokens: int) -> np.ndarray:

@@ -308,11 +308,11 @@ def remove_earlier(docs: DataFrame, length: int = 100, gram: int = 20, id_col: s
             done = done.append_column(c, table.column(c))
         return done
 
-    sent = dealt.groupBy("cell").applyInArrow(ask, "cell int, bucket int, keys binary")
+    sent = dealt.groupBy("cell").applyInArrow(C.tidy(ask), "cell int, bucket int, keys binary")
     answers = C.shared_keys(sent)
-    shipped = dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(ship, "cell int, bucket int, rows binary, text binary")
-    spans = shipped.groupBy("bucket").applyInArrow(match, "cell int, spans binary")
-    return full.groupBy("cell").cogroup(spans.groupBy("cell")).applyInArrow(finish, kinds)
+    shipped = dealt.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(C.tidy(ship), "cell int, bucket int, rows binary, text binary")
+    spans = shipped.groupBy("bucket").applyInArrow(C.tidy(match), "cell int, spans binary")
+    return full.groupBy("cell").cogroup(spans.groupBy("cell")).applyInArrow(C.tidy(finish), kinds)
 
 
 def dedup_texts(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,6 +29,8 @@ TRAIN_ROWS = 6_000
 TRAIN_FEATURES = 20_000
 #: Word beginnings, in bytes, that stand for a word's inflected forms.
 STEMS = (4, 5)
+#: Text bytes whose features are held at a time, many times their size.
+PIECE_BYTES = 1 << 20
 
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[ord(c) for c in ".,;:!?\"'()[]{}"]] = True
@@ -135,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, passes: int = 3, rows: int = TRAIN
             table = pa.Table.from_batches([batch])
             buf, offs = C.text_buffer(table.column("text"))
             got = [np.empty(0, np.int32)] * table.num_rows
-            for i, j, b, o in C.batches(buf, offs):
+            for i, j, b, o in C.batches(buf, offs, PIECE_BYTES):
                 doc, slot = feature_pairs(b, o)
                 for d, part in enumerate(np.split(slot.astype(np.int32), np.searchsorted(doc, np.arange(1, j - i)))):
                     if len(part) > TRAIN_FEATURES:
@@ -143,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, passes: int = 3, rows: int = TRAIN
                     got[i + d] = part
             yield pa.RecordBatch.from_arrays([table.column("doc_id").combine_chunks(), table.column("toxic").combine_chunks(), pa.array([g.tobytes() for g in got], pa.binary())], names=["doc_id", "toxic", "slots"])
 
-    got = sample.mapInArrow(features, "doc_id long, toxic int, slots binary").collect()
+    got = sample.mapInArrow(C.tidy(features), "doc_id long, toxic int, slots binary").collect()
     rows_ = sorted(((r["doc_id"], r["toxic"], np.frombuffer(r["slots"], np.int32)) for r in got), key=lambda r: (r[0], r[1]))
     learner = FTRL()
     rng = np.random.default_rng(7)
@@ -172,13 +174,13 @@ def score_rows(docs: DataFrame, model: Model, name: str, text_col: str = "text")
             table = pa.Table.from_batches([batch])
             buf, offs = C.text_buffer(table.column(text_col))
             total = np.full(table.num_rows, bias)
-            for i, j, b, o in C.batches(buf, offs):
+            for i, j, b, o in C.batches(buf, offs, PIECE_BYTES):
                 doc, slot = feature_pairs(b, o, keep)
                 total[i:j] += np.bincount(doc, weights=dense[slot], minlength=j - i)
             out = pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
             yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(C.tidy(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -816,6 +816,34 @@ def pipeline_frame(spark, rows):
     return spark.createDataFrame([(i, t, "en", "s", 0, 7, 8, "kept", 9, 1.5, "r", 3) for i, t in rows], CLASHING)
 
 
+def test_workers_give_freed_memory_back(spark):
+    """What scoring took is with the system again, not kept for the stages that follow."""
+    docs, text = spark.createDataFrame([], "doc_id long, text string"), " ".join(vocabulary(41))
+    held = lambda: sum(map(int, re.findall(r"Pss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())))
+    model = toxicity.Model(0.0, np.arange(1 << toxicity.BITS), np.ones(1 << toxicity.BITS, np.float32))
+
+    class Rows:
+        sparkSession, schema = docs.sparkSession, docs.schema
+
+        def mapInArrow(self, f, schema):
+            return f
+
+    run = toxicity.score_rows(Rows(), model, "score")
+    batches = [pa.record_batch({"doc_id": pa.array(range(1000)), "text": pa.array([f"{text} {k}" for k in range(1000)])}) for _ in range(4)]
+    assert sum(b.num_rows for b in run(batches)) == 4000
+    del batches
+    before = held()
+    C.give_back()
+    assert before - held() < 20_000
+
+
+def test_tidy_leaves_results_and_arguments_alone():
+    assert list(C.tidy(lambda batches: (yield from batches))([1, 2])) == [1, 2]
+    for work in (lambda a: [a], lambda a, b: [a, b], lambda a, b, c: [a, b, c]):
+        n = work.__code__.co_argcount
+        assert C.tidy(work).__code__.co_argcount == n and C.tidy(work)(*range(n)) == list(range(n))
+
+
 def test_pipeline_stages(spark):
     """Null ids and texts, repeated rows, a long text and clashing columns go through every stage."""
     import corpus_pipeline
